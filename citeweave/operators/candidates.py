@@ -176,7 +176,7 @@ def _score_rare(
 ) -> DataFrame:
     """Best entry among those sharing a rare word with the search."""
     asked = search_terms.where("not hot and search is not null").select(
-        "search", "lookup_year", "term", "weight", _searched_years().alias("year")
+        "search", "lookup_year", "term", "weight", searched_years().alias("year")
     )
     # The null checks keep both uses of the sums identical, so that one shuffle serves both.
     offered = entry_terms.where("not hot and entry is not null").select("entry", "year", "term")
@@ -220,7 +220,7 @@ def _shared_hot_weight() -> Column:
     return F.coalesce(_total_weight(shared), F.lit(0))
 
 
-def _searched_years() -> Column:
+def searched_years() -> Column:
     """The searched year and the next one, so that the range becomes an equi-join."""
     return F.explode(F.array(F.col("lookup_year"), F.col("lookup_year") + 1))
 
@@ -249,7 +249,7 @@ def _score_hot(
             "piece",
             F.explode(F.sequence(F.lit(0), _pieces(F.col("word"), block_rows) - 1)),
         )
-        .withColumn("year", _searched_years())
+        .withColumn("year", searched_years())
     )
     offered = (
         entry_side.where(F.col("entry_hot").isNotNull())

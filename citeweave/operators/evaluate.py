@@ -68,8 +68,11 @@ def cutoff_sweep(scored: DataFrame, buckets: int = SWEEP_BUCKETS) -> DataFrame:
     )
     steps = [i / buckets for i in range(1, buckets)]
     bounds = per_score.agg(F.percentile_approx("score", steps, 10_000).alias("b")).scalar()
-    placed = per_score.withColumn(
-        "bucket", F.size(F.filter(bounds, lambda b: b <= F.col("score")))
+    placed = per_score.withColumn("bounds", bounds).select(
+        "score",
+        "right",
+        "wrong",
+        F.size(F.filter("bounds", lambda b: b <= F.col("score"))).alias("bucket"),
     )
     # One row per bucket, so the ungrouped window below is of fixed size.
     above = Window.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
