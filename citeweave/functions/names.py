@@ -13,7 +13,7 @@ from .fixed_values import (
     ORCID_PATTERN,
     UNKNOWN_NAME,
 )
-from .text import is_blank, strip_char, strip_space
+from .text import is_blank, let, strip_char, strip_space
 
 
 def _entries(field: Column) -> Column:
@@ -48,7 +48,8 @@ def parse_author_string(field: Column, whole_word: bool = False) -> Column:
         & ~p.rlike("[0-9]{4,}")
         & (F.length(p) <= MAX_NAME_LENGTH),
     )
-    names = F.transform(people, lambda p: _given_first(F.regexp_replace(p, r"(?U)\s+", " ")))
+    spaced = F.transform(people, lambda p: F.regexp_replace(p, r"(?U)\s+", " "))
+    names = F.transform(spaced, _given_first)
     kept = F.filter(names, lambda n: F.length(n) >= MIN_NAME_LENGTH)
     return F.transform(kept, lambda n: F.struct(n.alias("name"), F.lit("").alias("org")))
 
@@ -78,15 +79,19 @@ def normalize_author_name(name: Column) -> Column:
     plain = F.regexp_replace(plain, r"(?U)[^\p{L}\p{N}_\s\-]", "")
     plain = F.regexp_replace(plain, r"(?U)\s*-\s*", "-")
     plain = strip_space(F.regexp_replace(plain, r"(?U)\s+", " "))
+    joined = let(plain, _first_and_last)
+    key = strip_char(F.regexp_replace(joined, "_+", "_"), "_")
+    return F.regexp_replace(F.substring(key, 1, MAX_AUTHOR_KEY), "_+$", "")
+
+
+def _first_and_last(plain: Column) -> Column:
     first = F.regexp_extract(plain, "^[^ ]+", 0)
     last = F.regexp_extract(plain, "[^ ]+$", 0)
-    joined = (
+    return (
         F.when(plain == "", F.lit(f"{UNKNOWN_NAME}_{UNKNOWN_NAME}"))
         .when(F.instr(plain, " ") == 0, F.concat(F.lit(UNKNOWN_NAME + "_"), plain))
         .otherwise(F.concat_ws("_", first, last))
     )
-    key = strip_char(F.regexp_replace(joined, "_+", "_"), "_")
-    return F.regexp_replace(F.substring(key, 1, MAX_AUTHOR_KEY), "_+$", "")
 
 
 def author_overlap(field_authors: Column, registry_authors: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,3 +28,8 @@ def words(c: Column) -> Column:
 def is_blank(c: Column) -> Column:
     """True for null and for the empty string."""
     return F.coalesce(c == "", F.lit(True))
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """Evaluate an expression once although ``use`` mentions it several times."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))

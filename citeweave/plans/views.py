@@ -6,10 +6,30 @@ vary values (prefixes, missing years); they never choose rows.
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeweave.functions.fixed_values import JOURNAL_NAME, PRINT_ISSN, TARGET_ISSN
+from citeweave.session import materialize
+
+
+_SAVED: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _saved(view: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Write a view once per session, so that queries read it as they would read a table."""
+
+    @functools.wraps(view)
+    def read(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, sf_dir, view.__name__)
+        if key not in _SAVED:
+            _SAVED[key] = materialize(view(spark, sf_dir), view.__name__)
+        return _SAVED[key]
+
+    return read
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -85,6 +105,7 @@ def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_saved
 def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full records of all documents; the title is the whole text on one line.
 
@@ -123,6 +144,7 @@ def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_saved
 def author_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Papers with authors made of every two words of the text, some without a name."""
     base = table(spark, sf_dir, "documents").selectExpr(
@@ -230,6 +252,7 @@ def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_saved
 def dump_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents rendered in the wrapped dialect, one file per source, header at line 0.
 
