@@ -112,7 +112,7 @@ def _pairs(spark, d):
 @query(
     with_(PAGES, _PAIRS, LCS, recursive=True)
     + """SELECT key, round(coalesce(ratio, 0), 6) AS similarity, coalesce(ratio, 0) > 0.5 AS title_valid
-    FROM compared c LEFT JOIN similar s ON c.a = s.a AND c.b = s.b"""
+    FROM compared c LEFT JOIN ratios s ON c.a = s.a AND c.b = s.b"""
 )
 def title_similarity(spark, d):
     ratio = similarity(F.col("title"), F.col("cr_title"))
@@ -247,7 +247,7 @@ outcomes AS (
     WHEN NOT (coalesce(s.ratio, 0) > 0.5 AND coalesce(try_cast(CASE WHEN regexp_matches(f.year, '^ *[0-9]+ *$') THEN trim(f.year) END AS INTEGER) = cr_year, false))
       THEN 'invalid' END AS code,
     CASE WHEN title <> '' THEN {doi_sql('registry_doi')} END AS doi, CASE WHEN title <> '' THEN score END AS score
-  FROM found f LEFT JOIN similar s ON lower(trim(f.title)) = s.a AND lower(trim(f.cr_title)) = s.b)"""
+  FROM found f LEFT JOIN ratios s ON lower(trim(f.title)) = s.a AND lower(trim(f.cr_title)) = s.b)"""
 )
 
 

@@ -37,7 +37,7 @@ def scratch(spark, name: str) -> str:
 
 def _now():
     """Time of the run: later than every recorded answer."""
-    return F.to_timestamp(F.lit("2030-01-01 00:00:00"))
+    return F.to_timestamp_ntz(F.lit("2030-01-01 00:00:00"))
 
 
 # Joins ---------------------------------------------------------------------------------
@@ -545,8 +545,8 @@ def upsert_lookup(spark, d):
     """Answers merged in two runs, read back from the newest version."""
     path = scratch(spark, "lookups")
     rows = _plain_lookups(spark, d)
-    early = rows.agg(F.percentile_approx(F.unix_micros("ts"), 0.5)).scalar()
-    first = F.unix_micros("ts") < early
+    early = rows.agg(F.percentile_approx("ts", 0.5)).scalar()
+    first = F.col("ts") < early
     lookup_store.upsert_lookup(spark, path, rows.where(first))
     lookup_store.upsert_lookup(spark, path, rows.where(~first))
     return lookup_store.load_lookup(spark, path).select("doi", F.col("exists").alias("found"), "error_type", "ts")

@@ -242,7 +242,7 @@ lcs AS (
     list_append(acc, CASE WHEN substring(a, i + 1, 1) = substring(b, j, 1) THEN line[j] + 1
       ELSE greatest(line[j + 1], acc[len(acc)]) END), [0::BIGINT])
   FROM lcs WHERE i < length(a)),
-similar AS (
+ratios AS (
   SELECT a, b, 2.0::DOUBLE * line[len(line)] / (length(a) + length(b)) AS ratio FROM lcs WHERE i = length(a))"""
 
 
@@ -271,7 +271,7 @@ checked AS (
   SELECT f.*, coalesce(s.ratio, 0) AS title_similarity, coalesce(s.ratio, 0) > 0.5 AS title_valid,
     coalesce({whole_number('meta_year')} <> 0 AND cr_year <> 0 AND {whole_number('meta_year')} = cr_year, false) AS year_valid,
     CASE WHEN {whole_number('meta_year')} <> 0 THEN abs({whole_number('meta_year')} - cr_year) END AS year_difference
-  FROM found f LEFT JOIN similar s ON lower(trim(f.meta_title)) = s.a AND lower(trim(f.cr_title)) = s.b),
+  FROM found f LEFT JOIN ratios s ON lower(trim(f.meta_title)) = s.a AND lower(trim(f.cr_title)) = s.b),
 matched AS (
   SELECT *, title_valid AND year_valid AS is_valid_match, registry_doi IS NOT NULL AS author_valid,
     {doi_sql('doi')} AS gold_norm, {doi_sql('registry_doi')} AS registry_norm

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from citeweave.operators.lookup import merge_lookups
 
 ANSWER_SCHEMA = "title string, year string, doi string, score double, error string"
-LOOKUP_SCHEMA = "doi string, exists boolean, error_type string, ts timestamp"
+LOOKUP_SCHEMA = "doi string, exists boolean, error_type string, ts timestamp_ntz"
 
 
 def _versions(spark: SparkSession, path: str) -> list[int]:
