@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citeweave.functions.names import named_authors, normalize_author_name
+from citeweave.session import materialize
 
 from .lists import PART_SIZE, parted_lists
 
@@ -21,7 +22,9 @@ def author_papers(papers: DataFrame) -> DataFrame:
 
 def author_index(papers: DataFrame, part_size: int = PART_SIZE) -> DataFrame:
     """(author, part, parts, papers): papers sorted; one part unless an author has very many."""
-    return parted_lists(author_papers(papers), "author", "key", "papers", part_size)
+    # Counting and listing both read the pairs; the names are normalised once.
+    pairs = materialize(author_papers(papers), "author-papers")
+    return parted_lists(pairs, "author", "key", "papers", part_size)
 
 
 def author_stats(papers: DataFrame) -> DataFrame:

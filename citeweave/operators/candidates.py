@@ -198,17 +198,22 @@ def _score_rare(
         .select(
             "search",
             "lookup_year",
-            "search_hot",
             "search_hot_sum",
             (F.col("rare") + _shared_hot_weight()).alias("floor"),
         )
     )
+    # Rows stay narrow until the bounds have done their work; the word lists come last.
     missing = F.col("floor") - F.col("rare")
-    scored = (
+    reachable = (
         sums.join(floor, ["search", "lookup_year"])
         .where(F.coalesce("search_hot_sum", F.lit(0)) >= missing)
-        .join(entry_side, ["entry", "year"])
+        .join(entry_side.select("entry", "year", "entry_hot_sum"), ["entry", "year"])
         .where(F.coalesce("entry_hot_sum", F.lit(0)) >= missing)
+        .select("search", "lookup_year", "entry", "year", "rare")
+    )
+    scored = (
+        reachable.join(search_hot, ["search", "lookup_year"], "left")
+        .join(entry_side, ["entry", "year"])
         .withColumn("score", F.col("rare") + _shared_hot_weight())
     )
     return _best(scored, "search", "lookup_year")

@@ -68,12 +68,12 @@ def cutoff_sweep(scored: DataFrame, buckets: int = SWEEP_BUCKETS) -> DataFrame:
     )
     steps = [i / buckets for i in range(1, buckets)]
     bounds = per_score.agg(F.percentile_approx("score", steps, 10_000).alias("b")).scalar()
-    placed = per_score.withColumn("bounds", bounds).select(
-        "score",
-        "right",
-        "wrong",
-        F.size(F.filter("bounds", lambda b: b <= F.col("score"))).alias("bucket"),
-    )
+    placed = per_score.withColumn("bounds", bounds).withColumn("bucket", F.lit(0))
+    # Number of bounds up to the score, by bisection: a few comparisons per distinct score.
+    for step in (1 << i for i in reversed(range(buckets.bit_length()))):
+        reached = F.get("bounds", F.col("bucket") + (step - 1)) <= F.col("score")
+        placed = placed.withColumn("bucket", F.col("bucket") + F.when(reached, step).otherwise(0))
+    placed = placed.select("score", "right", "wrong", "bucket")
     # One row per bucket, so the ungrouped window below is of fixed size.
     above = Window.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)

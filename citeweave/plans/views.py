@@ -26,7 +26,9 @@ def _saved(view: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
     def read(spark: SparkSession, sf_dir: str) -> DataFrame:
         key = (spark.sparkContext.applicationId, sf_dir, view.__name__)
         if key not in _SAVED:
-            _SAVED[key] = materialize(view(spark, sf_dir), view.__name__)
+            # A test table is one small file; spread it as a large table would be.
+            files = spark.sparkContext.defaultParallelism
+            _SAVED[key] = materialize(view(spark, sf_dir).repartition(files), view.__name__)
         return _SAVED[key]
 
     return read
