@@ -390,3 +390,25 @@ def error_analysis(spark, d):
         "key", "registry_doi", "score", "cr_title", "cr_year", F.concat_ws(", ", "cr_authors").alias("cr_authors"),
         "is_valid_match", six("title_similarity").alias("title_similarity"),
     )
+
+
+@query(
+    with_(PAGES, attached("csv_title"), _HELD, recursive=True)
+    + """SELECT key, registry_doi, score, is_correct, coalesce(cr_title, '') AS cr_title, round(title_similarity, 6) AS title_similarity,
+      title_valid, year_valid, author_valid FROM held"""
+)
+def write_validation_results(spark, d):
+    """Hold-out rows and metrics written, the rows read back."""
+    from citeweave.plans.table_queries import scratch
+    from citeweave.session import materialize
+    from citeweave.sources.writers import write_validation_results as write
+
+    path, cutoff = scratch(spark, "validation"), F.lit(20.0)
+    matched = materialize(jobs.holdout_matches(*_sources(spark, d), cutoff), "holdout")
+    write(matched, evaluate.evaluate_holdout(matched, cutoff), path)
+    rows = spark.read.csv(f"{path}/validation_results", header=True, quote='"', escape='"')
+    flags = ("is_correct", "title_valid", "year_valid", "author_valid")
+    return rows.select(
+        "key", "registry_doi", F.col("score").cast("double").alias("score"), F.coalesce("cr_title", F.lit("")).alias("cr_title"),
+        six(F.col("title_similarity").cast("double")).alias("title_similarity"), *[F.col(f).cast("boolean").alias(f) for f in flags],
+    )
