@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeweave.llm import decontaminate, lines, quality
+from citeweave.llm import decontaminate, jaccard, lines, quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = lines.deduplicated(table(spark, sf_dir, "documents"))
     return kept.select(
@@ -41,5 +45,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op5_line_dedup, op9_benchmark_decontamination, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op4_ngram_jaccard_join, op5_line_dedup, op9_benchmark_decontamination, op10_quality_rules)}
 SQL: dict[str, str] = {}
