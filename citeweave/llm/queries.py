@@ -5,13 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeweave.llm import decontaminate, jaccard, lines, quality
+from citeweave.llm import decontaminate, jaccard, lines, packing, quality
+
+
+#: Tokenizer file of the packing and token output queries.
+TOKENIZER = "byte_bpe_50k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -23,6 +33,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), tokenizer_path()))
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontaminate.digest(decontaminate.contamination(docs, benchmark))
@@ -45,5 +59,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op4_ngram_jaccard_join, op5_line_dedup, op9_benchmark_decontamination, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op4_ngram_jaccard_join, op5_line_dedup, op6_best_fit_packing, op9_benchmark_decontamination, op10_quality_rules)}
 SQL: dict[str, str] = {}
