@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeweave.llm import decontaminate, jaccard, lines, packing, quality
+from citeweave.llm import decontaminate, jaccard, lines, packing, quality, token_files
 
 
 #: Tokenizer file of the packing and token output queries.
@@ -37,6 +37,11 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), tokenizer_path()))
 
 
+def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = token_files.write_token_files(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=2)
+    return token_files.read_token_files(manifest, with_ids=False)
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontaminate.digest(decontaminate.contamination(docs, benchmark))
@@ -59,5 +64,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op4_ngram_jaccard_join, op5_line_dedup, op6_best_fit_packing, op9_benchmark_decontamination, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op4_ngram_jaccard_join, op5_line_dedup, op6_best_fit_packing, op8_token_output, op9_benchmark_decontamination, op10_quality_rules)}
 SQL: dict[str, str] = {}
