@@ -17,10 +17,11 @@ text are all named; empty tables give no finds.  Other columns are left out.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -197,6 +198,22 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     )
 
 
+def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_windows: int = SHARD_WINDOWS) -> DataFrame:
+    """`docs`, same columns, without those in which a window occurs; one filter per shard of windows."""
+    for items in _shards(item_windows(benchmark, window), shard_windows):
+        docs = docs.mapInArrow(_clean(docs.sparkSession.sparkContext.broadcast(items), window), docs.schema)
+    return docs
+
+
+def _clean(sent: Broadcast, window: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        patterns = Patterns(sent.value, window)
+        for batch in batches:
+            yield batch.filter(pa.array([not patterns.search(t)[1] for t in binary(batch.column("text"))], pa.bool_()))
+
+    return clean
+
+
 def _shards(items: DataFrame, limit: int) -> Iterator[list[tuple[str, list[bytes]]]]:
     """Items in lists of about `limit` windows, fetched list by list; one list at least."""
     held: list[tuple[str, list[bytes]]] = []

@@ -309,6 +309,12 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
 
 
+def clean_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """`docs`, same columns, with the smallest doc_id of each component only."""
+    found = jaccard_components(docs, percent).where("component_id <> doc_id")
+    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+
+
 def _open_pairs(runs: DataFrame, linked: DataFrame) -> DataFrame:
     """Distinct pairs (a < b) of nodes that share a run but no component."""
     numbered = runs.where(F.size("nodes") > 2).select(F.xxhash64("nodes").alias("run"), F.explode("nodes").alias("node"))

@@ -281,38 +281,47 @@ def _or_same(change: Callable) -> Callable:
     return changed
 
 
+#: Column in which `without_lines` adds what it found to documents of any columns.
+FOUND = "line deduplication"
+
+
 def without_lines(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """`docs` with `n_lines`, `n_dropped` and, in `kept_text`, the text without the dropped lines.
+    """`docs` with a struct (n_lines, n_dropped, kept_text): the text without the dropped lines.
 
     The list of dropped lines of a document is never longer than the document itself.
     """
     lists = dropped.groupBy("doc_id").agg(F.collect_set("line_no").alias("dropped lines"))
-    lines = F.split(F.coalesce(F.col("text"), F.lit("")), "\n")
-
-    def pick(x: Column) -> Column:
-        left = F.array_except(F.sequence(F.lit(0), F.size(x) - 1), F.col("dropped lines"))
-        return F.array_join(F.transform(left, lambda i: F.get(x, i)), "\n")
-
-    return (
-        docs.join(lists, "doc_id", "left")
-        .withColumn("n_lines", (F.length("text") - F.length(F.translate("text", "\n", "")) + 1).cast("long"))
-        .withColumn("n_lines", F.coalesce("n_lines", F.lit(1)))
-        .withColumn("n_dropped", F.coalesce(F.size(F.col("dropped lines")), F.lit(0)).cast("long"))
-        .withColumn(
-            "kept_text",
-            F.when(F.col("dropped lines").isNull(), F.coalesce("text", F.lit(""))).otherwise(
-                F.get(F.transform(F.array(lines), pick), F.lit(0))
-            ),
-        )
-        .drop("dropped lines")
+    text = F.coalesce(F.col("text"), F.lit(""))
+
+    def kept(lines: Column) -> Column:
+        left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("dropped lines"))
+        return F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")
+
+    found = F.struct(
+        (F.length(F.regexp_replace(text, r"[^\n]+", "")) + 1).cast("long").alias("n_lines"),
+        F.coalesce(F.size(F.col("dropped lines")), F.lit(0)).cast("long").alias("n_dropped"),
+        F.when(F.col("dropped lines").isNull(), text)
+        .otherwise(F.get(F.transform(F.array(F.split(text, "\n")), kept), F.lit(0)))
+        .alias("kept_text"),
     )
+    return docs.join(lists, "doc_id", "left").select(*[docs[c] for c in docs.columns], found.alias(FOUND))
 
 
 def deduplicated(docs: DataFrame, n_batches: int = 2) -> DataFrame:
-    """(doc_id, text, n_lines, n_dropped, kept_text) after inserting all documents batch by batch."""
-    plain = docs.select("doc_id", "text")
-    keyed = materialize(keyed_lines(plain), "line-keys")
+    """`docs` with the struct of `without_lines`, after inserting all documents batch by batch."""
+    keyed = materialize(keyed_lines(docs), "line-keys")
     index = LineIndex.empty(docs.sparkSession, keyed.count())
     for batch in range(n_batches):
         index = index.insert(keyed.where(F.pmod(F.xxhash64("doc_id"), F.lit(n_batches)) == batch))
-    return without_lines(plain, index.dropped(keyed))
+    return without_lines(docs, index.dropped(keyed))
+
+
+def clean_documents(docs: DataFrame) -> DataFrame:
+    """`docs`, same columns, without repeated lines; texts of which nothing is left go.
+
+    A column `n_chars` is counted again.
+    """
+    kept = f"`{FOUND}`.kept_text"
+    done = deduplicated(docs).where(f"`{FOUND}`.n_dropped = 0 OR {kept} RLIKE r'[^ \\t-\\r]'")
+    changed = {"text": F.col(kept), "n_chars": F.length(F.col(kept)).cast("long")}
+    return done.select(*[changed[c].alias(c) if c in changed else F.col(f"`{c}`") for c in docs.columns])

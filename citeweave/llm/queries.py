@@ -27,8 +27,8 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = lines.deduplicated(table(spark, sf_dir, "documents"))
-    return kept.select(
+    found = lines.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", f"`{lines.FOUND}`.*")
+    return found.select(
         "doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256")
     )
 
