@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeweave.llm import decontaminate, jaccard, lines, packing, quality, token_files
+from citeweave.llm import decontaminate, jaccard, lines, packing, quality, token_files, warc
+from citeweave.session import materialize
 
 
 #: Tokenizer file of the packing and token output queries.
@@ -37,6 +38,11 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), tokenizer_path()))
 
 
+def op7_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = warc.write_archives(table(spark, sf_dir, "pages"))
+    return warc.resolved(materialize(warc.transactions(warc.read_archives(manifest)), "warc-captures"))
+
+
 def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_files.write_token_files(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=2)
     return token_files.read_token_files(manifest, with_ids=False)
@@ -64,5 +70,27 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op4_ngram_jaccard_join, op5_line_dedup, op6_best_fit_packing, op8_token_output, op9_benchmark_decontamination, op10_quality_rules)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op4_ngram_jaccard_join,
+        op5_line_dedup,
+        op6_best_fit_packing,
+        op7_warc_transactions,
+        op8_token_output,
+        op9_benchmark_decontamination,
+        op10_quality_rules,
+    )
+}
 SQL: dict[str, str] = {}
+
+SQL["op7_warc_transactions"] = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS payload, strlen(coalesce(html, '')) AS payload_bytes,
+         sha256(coalesce(html, '')) AS payload_digest
+  FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload) AS first_page FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_page THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_page THEN first_page END AS refers_to
+FROM f"""
