@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from citeweave.functions.titles import title_terms
 from citeweave.session import materialize
 
+from .lookup import one_per
+
 HOT_ROWS = 200
 BLOCK_ROWS = 20_000
 MICRO = 1_000_000
@@ -290,9 +292,9 @@ def _needed(hot: Column, floor: Column) -> Column:
 def attach_candidate(searched: DataFrame, answers: DataFrame, registry: DataFrame) -> DataFrame:
     """Add the answer (doi, score) and the registry metadata to each searched record.
 
-    ``searched`` has (title, lookup_year); ``registry`` one record per doi.
+    ``searched`` has (title, lookup_year); of registry records with one doi one counts.
     """
-    metadata = registry.select(
+    metadata = one_per(registry.select("doi", "title", "year", "authors", "venue"), "doi").select(
         F.col("doi").alias("registry_doi"),
         F.col("title").alias("cr_title"),
         F.col("year").alias("cr_year"),

@@ -11,7 +11,7 @@ from citeweave.functions.identifiers import normalize_doi
 from citeweave.functions.names import parse_author_string
 from citeweave.functions.titles import keywords_distinct
 
-from .lookup import last_wins
+from .lookup import last_wins, one_per
 
 
 def enrich_by_doi(entries: DataFrame, lookups: DataFrame) -> DataFrame:
@@ -53,7 +53,8 @@ def convert_records(results: DataFrame, metadata: DataFrame) -> DataFrame:
     """Converted record of each found key, the last entry (largest DOI) per key winning."""
     found = results.where((F.col("status") == "found") & (F.coalesce("key", F.lit("")) != ""))
     wanted = last_wins(found.select("key", "doi"), ["key"], F.col("doi"))
-    return wanted.join(convert_metadata(metadata), "doi").withColumn("id", F.col("key"))
+    one = convert_metadata(one_per(metadata, "doi"))
+    return wanted.join(one, "doi").withColumn("id", F.col("key"))
 
 
 def run_summary(results: DataFrame) -> DataFrame:

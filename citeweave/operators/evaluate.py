@@ -55,6 +55,21 @@ def distinct_scores(scored: DataFrame) -> DataFrame:
     return scored.select("score").distinct()
 
 
+def _in_ranges(per_score: DataFrame, buckets: int) -> DataFrame:
+    """Add ``bucket``: value ranges that hold about the same number of rows of ``per_score``.
+
+    The bounds need not be exact; they only have to be the same for all rows.
+    """
+    steps = [i / buckets for i in range(1, buckets)]
+    bounds = per_score.agg(F.percentile_approx("score", steps, 10_000).alias("b")).scalar()
+    placed = per_score.withColumn("bounds", bounds).withColumn("bucket", F.lit(0))
+    # Number of bounds up to the score, by bisection: a few comparisons per distinct score.
+    for step in (1 << i for i in reversed(range(buckets.bit_length()))):
+        reached = F.get("bounds", F.col("bucket") + (step - 1)) <= F.col("score")
+        placed = placed.withColumn("bucket", F.col("bucket") + F.when(reached, step).otherwise(0))
+    return placed.drop("bounds")
+
+
 def cutoff_sweep(scored: DataFrame, buckets: int = SWEEP_BUCKETS) -> DataFrame:
     """Confusion counts and rates with every distinct score as cutoff.
 
@@ -66,14 +81,7 @@ def cutoff_sweep(scored: DataFrame, buckets: int = SWEEP_BUCKETS) -> DataFrame:
     per_score = scored.groupBy("score").agg(
         F.count_if(right).alias("right"), F.count_if(~right).alias("wrong")
     )
-    steps = [i / buckets for i in range(1, buckets)]
-    bounds = per_score.agg(F.percentile_approx("score", steps, 10_000).alias("b")).scalar()
-    placed = per_score.withColumn("bounds", bounds).withColumn("bucket", F.lit(0))
-    # Number of bounds up to the score, by bisection: a few comparisons per distinct score.
-    for step in (1 << i for i in reversed(range(buckets.bit_length()))):
-        reached = F.get("bounds", F.col("bucket") + (step - 1)) <= F.col("score")
-        placed = placed.withColumn("bucket", F.col("bucket") + F.when(reached, step).otherwise(0))
-    placed = placed.select("score", "right", "wrong", "bucket")
+    placed = _in_ranges(per_score, buckets)
     # One row per bucket, so the ungrouped window below is of fixed size.
     above = Window.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -124,15 +132,36 @@ def best_cutoff(sweep: DataFrame, manual: float | None = None) -> DataFrame:
     return best if manual is None else best.withColumn("cutoff", F.lit(float(manual)))
 
 
-def score_profile(scored: DataFrame, accuracy: int = 10_000) -> DataFrame:
-    """Scores by presence on the registry and correctness."""
-    return scored.groupBy("on_registry", "is_correct").agg(
+def score_profile(scored: DataFrame, buckets: int = SWEEP_BUCKETS) -> DataFrame:
+    """Scores by presence on the registry and correctness, with the exact lower median.
+
+    The median comes from counts per score: totals of value ranges say in which range it
+    lies, and only the scores of that range are ordered.
+    """
+    group = ["on_registry", "is_correct"]
+    profile = scored.groupBy(*group).agg(
         F.count(F.lit(1)).alias("n"),
         F.min("score").alias("min_score"),
         F.max("score").alias("max_score"),
         F.avg("score").alias("avg_score"),
-        F.percentile_approx("score", 0.5, accuracy).alias("median_score"),
     )
+    per_score = scored.where("score IS NOT NULL").groupBy(*group, "score").agg(F.count(F.lit(1)).alias("k"))
+    # Nulls take part as a group of their own, so groups are told apart by their text.
+    label = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in group])
+    placed = _in_ranges(per_score.withColumn("g", label), buckets)
+    ranges = Window.partitionBy("g").orderBy("bucket")
+    totals = placed.groupBy("g", "bucket").agg(F.sum("k").alias("in_range")).select(
+        "g",
+        "bucket",
+        F.coalesce(F.sum("in_range").over(ranges.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("below"),
+        "in_range",
+        F.ceil(F.sum("in_range").over(Window.partitionBy("g")) / 2).alias("half"),
+    )
+    middle = totals.where("below < half AND below + in_range >= half").select("g", "bucket", "below", "half")
+    up = Window.partitionBy("g", "bucket").orderBy("score").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    reached = placed.join(F.broadcast(middle), ["g", "bucket"]).withColumn("upto", F.col("below") + F.sum("k").over(up))
+    medians = reached.where("upto >= half").groupBy("g").agg(F.min("score").alias("median_score"))
+    return profile.withColumn("g", label).join(F.broadcast(medians), "g", "left").drop("g")
 
 
 def evaluate_holdout(matched: DataFrame, cutoff: Column) -> DataFrame:

@@ -122,34 +122,36 @@ def pubs_with_citations(pubs: DataFrame, touching: DataFrame) -> DataFrame:
     )
 
 
-def short_ids(ids: DataFrame, length: int = SHORT_ID_LENGTH, rounds: int = 2) -> DataFrame:
+def short_ids(ids: DataFrame, length: int = SHORT_ID_LENGTH) -> DataFrame:
     """Unique (id, short_id) pairs.
 
-    Ids whose short form is taken by a smaller id are hashed again with a suffix.  The
-    first round shuffles all ids; the later ones handle the few losers only.  An id that
-    loses every round keeps its last short form with a number behind it.
+    Ids whose short form is taken by a smaller id are hashed again with a suffix, until none
+    is left.  The first round shuffles all ids; the later ones handle the few losers only.
+    The short forms must be able to tell the ids apart.
     """
     claims = materialize(_claim(ids.select("id").distinct(), F.col("id"), length), "short-ids")
-    settled, losers = claims.where("rank = 0"), claims.where("rank > 0")
-    for attempt in range(1, rounds + 1):
-        again = _claim(losers.select("id"), F.concat("id", F.lit(f"#{attempt}")), length)
-        taken = settled.select("short_id", F.lit(1).alias("_taken"))
-        again = again.join(taken, "short_id", "left").select(
-            "short_id", (F.col("rank") + F.coalesce("_taken", F.lit(0))).alias("rank"), "id"
+    settled, losers = claims.where("id = winner"), claims.where("id <> winner").select("id")
+    attempt = 0
+    while not losers.isEmpty():
+        attempt += 1
+        again = _claim(losers, F.concat("id", F.lit(f"#{attempt}")), length)
+        taken = settled.select("short_id", F.lit(True).alias("taken"))
+        again = materialize(
+            again.join(taken, "short_id", "left").withColumn(
+                "won", (F.col("id") == F.col("winner")) & F.col("taken").isNull()
+            ),
+            "short-ids",
         )
-        settled, losers = settled.unionByName(again.where("rank = 0")), again.where("rank > 0")
-    numbered = losers.withColumn("short_id", F.concat_ws("_", "short_id", "rank"))
-    return settled.unionByName(numbered).select("id", "short_id")
+        settled = settled.unionByName(again.where("won").select(settled.columns))
+        losers = again.where("NOT won").select("id")
+    return settled.select("id", "short_id")
 
 
 def _claim(ids: DataFrame, text: Column, length: int) -> DataFrame:
-    """(id, short_id, rank): rank 0 for the smallest id of each short id."""
-    return (
-        ids.select("id", short_id(text, length).alias("short_id"))
-        .groupBy("short_id")
-        .agg(F.array_sort(F.collect_list("id")).alias("claims"))
-        .select("short_id", F.posexplode("claims").alias("rank", "id"))
-    )
+    """(id, short_id, winner): the winner is the smallest id of each short id."""
+    claims = ids.select("id", short_id(text, length).alias("short_id"))
+    winners = claims.groupBy("short_id").agg(F.min("id").alias("winner"))
+    return claims.join(winners, "short_id").select("id", "short_id", "winner")
 
 
 def with_short_ids(pubs: DataFrame, mapping: DataFrame) -> DataFrame:

@@ -18,12 +18,21 @@ from citeweave.functions.titles import coalesce_title
 
 
 def last_wins(df: DataFrame, keys: list[str], order: Column) -> DataFrame:
-    """Keep the last record per key; combines before the shuffle, so hot keys stay cheap."""
+    """Keep the last record per key; combines before the shuffle, so hot keys stay cheap.
+
+    Of records with the same order the largest counts, so that every run keeps the same one.
+    """
     rest = [c for c in df.columns if c not in keys]
-    last = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("last"))
+    row = F.struct(*rest)
+    last = df.groupBy(*keys).agg(F.max_by(row, F.struct(order.alias("by"), row.alias("row"))).alias("last"))
     return last.select(*keys, *[F.col("last")[c].alias(c) for c in rest])
 
 
+def one_per(df: DataFrame, key: str) -> DataFrame:
+    """One record per key, the largest; for tables that should not, but may, repeat a key."""
+    return last_wins(df, [key], F.lit(0))
+
+
 def latest_lookup(lookups: DataFrame) -> DataFrame:
     """Latest answer per DOI."""
     return last_wins(lookups, ["doi"], F.col("ts"))
@@ -86,20 +95,24 @@ def registry_exists(rows: DataFrame, registry: DataFrame, failed: DataFrame | No
 
     ``rows`` has doi, ``registry`` doi; ``failed`` lists the DOIs whose check failed.
     """
+    asked = rows.withColumn("_doi", normalize_doi(F.col("doi")))
+    # Rows without a DOI would all meet under one key of the joins.
+    blank = asked.where("_doi IS NULL").drop("_doi")
+    blank = blank.withColumn("lookup_error", F.lit(False)).withColumn("on_registry", F.lit(False))
     known = registry.select(normalize_doi(F.col("doi")).alias("_doi")).distinct()
-    out = rows.withColumn("_doi", normalize_doi(F.col("doi")))
-    out = out.join(known.withColumn("_known", F.lit(True)), "_doi", "left")
+    out = asked.where("_doi IS NOT NULL").join(known.withColumn("_known", F.lit(True)), "_doi", "left")
     if failed is None:
         error = F.lit(False)
     else:
         bad = failed.select(normalize_doi(F.col("doi")).alias("_doi")).distinct()
         out = out.join(bad.withColumn("_failed", F.lit(True)), "_doi", "left")
         error = F.coalesce("_failed", F.lit(False))
-    return (
+    checked = (
         out.withColumn("lookup_error", error)
         .withColumn("on_registry", F.coalesce("_known", F.lit(False)) & ~F.col("lookup_error"))
         .drop("_doi", "_known", "_failed")
     )
+    return checked.unionByName(blank)
 
 
 def uncached(entries: DataFrame, lookups: DataFrame, retry_http: bool = False) -> DataFrame:
@@ -119,9 +132,8 @@ def answer(dois: DataFrame, registry: DataFrame, now: Column) -> DataFrame:
     A registry row may carry an error_type of its own, else a miss has none.
     """
     own_error = F.col("error_type") if "error_type" in registry.columns else F.lit(None)
-    known = registry.select(
-        "doi", own_error.cast("string").alias("error_type"), F.lit(True).alias("_hit")
-    )
+    answers = registry.select("doi", own_error.cast("string").alias("error_type"))
+    known = one_per(answers, "doi").withColumn("_hit", F.lit(True))
     return dois.join(known, "doi", "left").select(
         "doi",
         (F.coalesce("_hit", F.lit(False)) & F.col("error_type").isNull()).alias("exists"),

@@ -18,7 +18,8 @@ def add_match_details(
 ) -> DataFrame:
     """Add the struct ``details`` and is_valid_match to rows with cr_title and cr_year.
 
-    Rows without a registry DOI (or outside ``only_if``) are not compared and not valid.
+    Rows without a registry DOI (or outside ``only_if``) are not compared and not valid.  A
+    row whose ``has_metadata`` is false has no publication record to hold authors against.
     """
     applies = F.col("registry_doi").isNotNull()
     if only_if is not None:
@@ -33,7 +34,9 @@ def add_match_details(
         "title_similarity",
         "title_valid",
         "year_valid",
-        applies.alias("author_valid"),
+        (applies & F.col("has_metadata") if "has_metadata" in matched.columns else applies).alias(
+            "author_valid"
+        ),
         F.when(applies, year_difference(F.col(year), F.col("cr_year"))).alias("year_difference"),
     )
     return (

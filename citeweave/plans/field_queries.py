@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from citeweave.functions import dates, errors, identifiers, matching, names, titles
-from citeweave.functions.fixed_values import ERROR_NOT_CACHED
+from citeweave.functions.fixed_values import (
+    AFFILIATION_WORDS,
+    ENRICHED_STOP_WORDS,
+    ERROR_NOT_CACHED,
+    SHORT_ID_ALPHABET,
+)
 from citeweave.operators import extract, lookup
 from citeweave.operators.extract import in_journal
 from citeweave.plans import views
@@ -18,6 +23,7 @@ from citeweave.plans.view_sql import (
     PAGES,
     PAPERS,
     doi_sql,
+    quoted,
     retryable_sql,
     whole_number,
     with_,
@@ -107,7 +113,7 @@ _SURNAME = "CASE WHEN instr(p, ',') > 0 THEN trim(substr(p, 1, instr(p, ',') - 1
     with_(PAPERS)
     + rf"""SELECT key, array_to_string(list_filter(list_transform(list_filter(
         list_transform(string_split(author_plain, ';'), lambda p: trim(rtrim(trim(p), ','))),
-        lambda p: p <> '' AND NOT regexp_matches(lower(p), 'department|university|college|institute|laboratory|school|center|centre|hospital|faculty|division|china|usa|uk|germany|france|japan|italy|state key|national|research')
+        lambda p: p <> '' AND NOT regexp_matches(lower(p), '{"|".join(AFFILIATION_WORDS)}')
           AND NOT regexp_matches(p, '[0-9]{{4,}}') AND length(p) <= 50),
         lambda p: trim({_GIVEN} || ' ' || {_SURNAME})), lambda n: length(n) > 2), '|') AS names
     FROM papers"""
@@ -133,7 +139,7 @@ def parse_author_orcid(spark, d):
     return views.papers(spark, d).select("key", joined(parsed).alias("authors"))
 
 
-_STOP = "['a','an','and','are','as','at','be','by','for','from','has','he','in','is','it','its','of','on','that','the','to','was','were','will','with','between','using','through','this','these','those','their','them','than','when','where','which','while','who','how','what','can','could','should','would','may','might','must','shall','study','analysis']"
+_STOP = f"[{quoted(ENRICHED_STOP_WORDS)}]"
 
 
 @query(
@@ -219,7 +225,7 @@ def named_author(spark, d):
 
 
 _SHORT = " || ".join(
-    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789', ((h // {62**i}) % 62 + 1)::INTEGER, 1)"
+    f"substr('{SHORT_ID_ALPHABET}', ((h // {62**i}) % 62 + 1)::INTEGER, 1)"
     for i in range(8)
 )
 

@@ -8,7 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citeweave.functions.dates import lookup_year
-from citeweave.functions.fixed_values import ERROR_NO_HIT, ERROR_NO_TITLE, TRAIN_SIZE
+from citeweave.functions.fixed_values import (
+    ERROR_EMPTY_ANSWER,
+    ERROR_NO_HIT,
+    ERROR_NO_TITLE,
+    TRAIN_SIZE,
+)
 from citeweave.functions.matching import (
     accepted_doi,
     exceeds,
@@ -35,6 +40,7 @@ from citeweave.operators.extract import (
     short_ids,
     with_short_ids,
 )
+from citeweave.operators.lists import PART_SIZE
 from citeweave.operators.lookup import (
     answer,
     attach_metadata,
@@ -108,15 +114,23 @@ def tune_cutoff(
 
 
 def holdout_matches(
-    gold: DataFrame, pubs: DataFrame, registry: DataFrame, cutoff: Column, **options
+    gold: DataFrame,
+    pubs: DataFrame,
+    registry: DataFrame,
+    cutoff: Column,
+    no_hit: str = ERROR_EMPTY_ANSWER,
+    **options,
 ) -> DataFrame:
-    """Hold-out rows searched by the title of the CSV file, one row per labelled row."""
+    """Hold-out rows searched by the title of the CSV file, one row per labelled row.
+
+    ``no_hit`` is the error of rows whose search finds nothing.
+    """
     rows = attach_metadata(gold, pubs)
     matched = add_match_details(search(rows, registry, "csv_title", **options))
     right = is_correct_for_holdout(F.col("doi"), F.col("registry_doi"))
     valid = F.col("is_valid_match")
     error = F.when(is_blank(F.col("csv_title")), ERROR_NO_TITLE).when(
-        F.col("registry_doi").isNull(), ERROR_NO_HIT
+        F.col("registry_doi").isNull(), no_hit
     )
     return (
         matched.withColumn("is_correct", right)
@@ -141,7 +155,7 @@ def evaluate_by_search(
     gold: DataFrame, pubs: DataFrame, registry: DataFrame, cutoff: Column, **options
 ) -> DataFrame:
     """The stricter evaluation, in which an invalid match is never right."""
-    matched = holdout_matches(gold, pubs, registry, cutoff, **options)
+    matched = holdout_matches(gold, pubs, registry, cutoff, ERROR_NO_HIT, **options)
     right = is_correct_direct(F.col("doi"), F.col("registry_doi"), F.col("is_valid_match"))
     return evaluate_direct(matched.withColumn("is_correct", right), cutoff)
 
@@ -171,16 +185,22 @@ def enrich(
     known = latest_lookup(lookups.select("doi", "exists", "error_type", "ts"))
     asked = entries.select("doi").distinct()
     fresh = answer(uncached(asked, known), metadata, now)
-    results = enrich_by_doi(entries, merge_lookups(known, fresh))
+    results = materialize(enrich_by_doi(entries, merge_lookups(known, fresh)), "enriched")
     return Enrichment(results, convert_records(results, metadata), run_summary(results), fresh)
 
 
 def extract_community(
-    rows: DataFrame, edges: DataFrame, order: Column | None = None, **journal
+    rows: DataFrame,
+    edges: DataFrame,
+    order: Column | None = None,
+    part_size: int = PART_SIZE,
+    **journal,
 ) -> DataFrame:
-    """Publications of one journal with their citations, under short ids."""
+    """Publications of one journal with their citations in parts, under short ids."""
     pubs = materialize(publications(rows, order, **journal), "journal")
-    lists = citation_lists(edges_touching(edges, pubs))
+    # Counting and listing both read the edges; they are scanned once.
+    touching = materialize(edges_touching(edges, pubs), "touching")
+    lists = citation_lists(touching, part_size)
     return with_short_ids(merge_citations(pubs, lists), short_ids(pubs))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from citeweave.functions.dates import lookup_year
+from citeweave.functions.fixed_values import ERROR_EMPTY_ANSWER, ERROR_NO_TITLE
 from citeweave.functions.identifiers import normalize_doi
 from citeweave.functions.similarity import title_similarity as similarity
 from citeweave.functions.similarity import title_valid as above_threshold
@@ -215,9 +216,9 @@ def evaluate_direct(spark, d):
 
 @query(
     with_(PAGES, attached("csv_title"), _HELD, recursive=True)
-    + """SELECT key, score, is_correct, is_correct AND is_valid_match AS is_correct_with_validation, found AND taken AS exceeds_cutoff,
+    + f"""SELECT key, score, is_correct, is_correct AND is_valid_match AS is_correct_with_validation, found AND taken AS exceeds_cutoff,
       CASE WHEN taken THEN registry_doi END AS accepted_doi, CASE WHEN taken AND is_valid_match THEN registry_doi END AS accepted_valid,
-      CASE WHEN coalesce(csv_title, '') = '' THEN 'Titolo mancante' WHEN registry_doi IS NULL THEN 'Nessun risultato da Crossref' END AS error
+      CASE WHEN coalesce(csv_title, '') = '' THEN '{ERROR_NO_TITLE}' WHEN registry_doi IS NULL THEN '{ERROR_EMPTY_ANSWER}' END AS error
     FROM held"""
 )
 def missing_title(spark, d):

@@ -7,6 +7,14 @@ import uuid
 from pyspark.sql import functions as F
 
 from citeweave.functions.errors import is_retryable
+from citeweave.functions.fixed_values import (
+    ENRICHED_STOP_WORDS,
+    ERROR_EMPTY_ANSWER,
+    ERROR_NO_TITLE,
+    ERROR_NOT_CACHED,
+    MAX_KEYWORDS,
+    SHORT_ID_ALPHABET,
+)
 from citeweave.functions.identifiers import normalize_doi
 from citeweave.operators import authors, bulk, enrich, evaluate, extract, lookup, sampling
 from citeweave.plans import jobs, views
@@ -23,6 +31,7 @@ from citeweave.plans.view_sql import (
     SCORED,
     SWEEP,
     doi_sql,
+    quoted,
     retryable_sql,
     with_,
     words,
@@ -64,9 +73,9 @@ labelled AS (
     CASE WHEN p.key IS NULL THEN '2020' ELSE p.year END AS year
   FROM gold g LEFT JOIN publications p ON g.key = p.key)""",
     )
-    + """SELECT l.key, a.doi AS by_metadata, b.doi AS by_csv, coalesce(b.score, 0) AS csv_score,
-      CASE WHEN l.csv_title = '' THEN 'Titolo mancante' WHEN b.title IS NULL THEN 'Chiave non trovata nella cache'
-        WHEN b.doi IS NULL THEN 'Nessun risultato nella cache' END AS csv_error
+    + f"""SELECT l.key, a.doi AS by_metadata, b.doi AS by_csv, coalesce(b.score, 0) AS csv_score,
+      CASE WHEN l.csv_title = '' THEN '{ERROR_NO_TITLE}' WHEN b.title IS NULL THEN '{ERROR_NOT_CACHED}'
+        WHEN b.doi IS NULL THEN '{ERROR_EMPTY_ANSWER}' END AS csv_error
     FROM labelled l
     LEFT JOIN answers a ON l.title = a.title AND l.year IS NOT DISTINCT FROM a.year
     LEFT JOIN answers b ON l.csv_title = b.title AND l.year IS NOT DISTINCT FROM b.year"""
@@ -236,7 +245,7 @@ def pubs_with_citations(spark, d):
 
 
 _SHORTENED = " || ".join(
-    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789', ((h // {62**i}) % 62 + 1)::INTEGER, 1)"
+    f"substr('{SHORT_ID_ALPHABET}', ((h // {62**i}) % 62 + 1)::INTEGER, 1)"
     for i in range(8)
 )
 _PUB_IDS = f"""
@@ -395,12 +404,10 @@ def run_summary(spark, d):
 _CONVERTED = rf"""
 tokens AS (SELECT doi, unnest({words('title')}) AS w, generate_subscripts({words('title')}, 1) AS n FROM metadata),
 firsts AS (
-  SELECT doi, w, min(n) AS n FROM tokens WHERE regexp_matches(w, '^[a-z]+$') AND length(w) > 3 AND w NOT IN (
-    'are','from','were','will','with','between','using','through','this','these','those','their','them','than','when','where',
-    'which','while','what','could','should','would','might','must','shall','study','analysis','that') GROUP BY doi, w),
+  SELECT doi, w, min(n) AS n FROM tokens WHERE regexp_matches(w, '^[a-z]+$') AND length(w) > 3 AND w NOT IN ({quoted(ENRICHED_STOP_WORDS)}) GROUP BY doi, w),
 listed AS (
   SELECT doi, string_agg(w, '|' ORDER BY n) AS keywords FROM
-    (SELECT *, row_number() OVER (PARTITION BY doi ORDER BY n) AS r FROM firsts) WHERE r <= 15 GROUP BY doi),
+    (SELECT *, row_number() OVER (PARTITION BY doi ORDER BY n) AS r FROM firsts) WHERE r <= {MAX_KEYWORDS} GROUP BY doi),
 converted AS (
   SELECT m.doi, title, coalesce(keywords, '') AS keywords, source_title AS venue,
     try_cast(nullif(regexp_extract(year, '(?:^|[^\p{{L}}\p{{N}}_])((?:19|20)[0-9]{{2}})(?:[^\p{{L}}\p{{N}}_]|$)', 1), '') AS INTEGER) AS year
@@ -437,23 +444,37 @@ journal AS (
   SELECT split_part(trim(id), ' ', 1) AS id, title, venue, list_filter(string_split(author, ';'),
       lambda p: regexp_matches(p, 'orcid:[0-9]{{4}}-[0-9]{{4}}-[0-9]{{4}}-[0-9]{{3}}[0-9X]')) AS people,
     CASE WHEN regexp_matches(substr(pub_date, 1, 4), '^[0-9]+$') THEN substr(pub_date, 1, 4)::INTEGER END AS year
-  FROM dump_rows WHERE contains(venue, '1588-2861') OR contains(venue, '0138-9130') OR contains(lower(venue), 'scientometrics')),
+  FROM (SELECT *, split_part(trim(id), ' ', 1) AS first_id FROM dump_rows)
+  WHERE (contains(venue, '1588-2861') OR contains(venue, '0138-9130') OR contains(lower(venue), 'scientometrics'))
+    AND regexp_matches(author, 'orcid:[0-9]{{4}}-[0-9]{{4}}-[0-9]{{4}}-[0-9]{{3}}[0-9X]')
+  QUALIFY row_number() OVER (PARTITION BY first_id ORDER BY source DESC, line_no DESC) = 1),
 edges AS (SELECT 'omid:br/06' || l_suppkey AS citing, 'omid:br/06' || l_partkey AS cited FROM lineitem),
 shortened AS (SELECT *, ('0x' || substr(md5(id), 1, 12))::BIGINT AS h FROM journal WHERE len(people) > 0),
-outgoing AS (SELECT citing AS id, string_agg(cited, '|' ORDER BY cited) AS cites FROM edges GROUP BY citing),
-incoming AS (SELECT cited AS id, string_agg(citing, '|' ORDER BY citing) AS cites FROM edges GROUP BY cited)""",
+touching AS (
+  SELECT citing AS id, 'outgoing' AS direction, cited AS other FROM edges
+  UNION ALL SELECT cited, 'incoming', citing FROM edges),
+parted AS (
+  SELECT t.id, direction, other, greatest(ceil(n / 5.0), 1)::BIGINT AS parts,
+    CASE WHEN n > 5 THEN ('0x' || substr(md5(other), 1, 8))::BIGINT % ceil(n / 5.0)::BIGINT ELSE 0 END AS part
+  FROM touching t JOIN (SELECT id, count(*) AS n FROM touching GROUP BY id) k ON t.id = k.id),
+cites AS (
+  SELECT id, part, parts, coalesce(string_agg(CASE WHEN direction = 'outgoing' THEN other END, '|' ORDER BY other), '') AS outgoing,
+    coalesce(string_agg(CASE WHEN direction = 'incoming' THEN other END, '|' ORDER BY other), '') AS incoming
+  FROM parted GROUP BY id, part, parts)""",
     )
-    + f"""SELECT {_SHORTENED} AS id, title, venue, year, len(people) AS authors, coalesce(o.cites, '') AS outgoing, coalesce(i.cites, '') AS incoming
-    FROM shortened s LEFT JOIN outgoing o ON s.id = o.id LEFT JOIN incoming i ON s.id = i.id"""
+    + f"""SELECT {_SHORTENED} AS id, title, venue, year, len(people) AS authors, coalesce(part, 0) AS part, coalesce(parts, 1) AS parts,
+      coalesce(outgoing, '') AS outgoing, coalesce(incoming, '') AS incoming
+    FROM shortened s LEFT JOIN cites c ON s.id = c.id"""
 )
 def extract_community(spark, d):
     rows = dump.parse_wrapped(views.dump_lines(spark, d), "source", "line_no")
     edges = views.table(spark, d, "lineitem").selectExpr(
         "concat('omid:br/06', l_suppkey) AS citing", "concat('omid:br/06', l_partkey) AS cited"
     )
-    out = jobs.extract_community(rows, edges, F.col("line_no"))
+    order = F.struct("source", "line_no")
+    out = jobs.extract_community(rows, edges, order, part_size=5)
     return out.select(
-        "id", "title", "venue", "year", F.size("authors").cast("bigint").alias("authors"),
+        "id", "title", "venue", "year", F.size("authors").cast("bigint").alias("authors"), "part", "parts",
         joined("outgoing_citations").alias("outgoing"), joined("incoming_citations").alias("incoming"),
     )
 
@@ -552,12 +573,25 @@ def upsert_lookup(spark, d):
     return lookup_store.load_lookup(spark, path).select("doi", F.col("exists").alias("found"), "error_type", "ts")
 
 
-@query("SELECT count(*) AS n FROM events WHERE false")
+@query(
+    with_(LOOKUPS)
+    + "SELECT 'first' AS version, doi, exists_flag AS found, error_type FROM lookups WHERE exists_flag UNION ALL "
+    "SELECT 'newest', doi, exists_flag, error_type FROM lookups"
+)
 def load_lookup(spark, d):
-    """A lookup table nobody has written yet is empty; entries all need a lookup then."""
-    empty = lookup_store.load_lookup(spark, scratch(spark, "none"))
-    known = _plain_lookups(spark, d).join(empty.select("doi"), "doi", "left_semi")
-    return known.agg(F.count(F.lit(1)).alias("n"))
+    """Each version holds what was merged up to it; before the first, the table is empty."""
+    path = scratch(spark, "versions")
+    rows = _plain_lookups(spark, d)
+    before = lookup_store.load_lookup(spark, path)
+    rows.where("exists").write.parquet(f"{path}/version=1")
+    first = lookup_store.load_lookup(spark, path)
+    rows.write.parquet(f"{path}/version=2")
+    newest = lookup_store.load_lookup(spark, path)
+    shown = [F.col("doi"), F.col("exists").alias("found"), "error_type"]
+    out = before.select(F.lit("none").alias("version"), *shown)
+    for name, version in (("first", first), ("newest", newest)):
+        out = out.unionByName(version.select(F.lit(name).alias("version"), *shown))
+    return out
 
 
 @query(
@@ -645,11 +679,12 @@ def write_run_outputs(spark, d):
 
 
 @query(
-    with_(AUTHORS)
-    + "SELECT author, string_agg(key, '|' ORDER BY key) AS papers FROM author_pairs WHERE author <> '' GROUP BY author"
+    with_(AUTHORS, _AUTHOR_PARTS)
+    + """SELECT author, CASE WHEN parts = 1 THEN 0 ELSE h % parts END AS part, parts, string_agg(key, '|' ORDER BY key) AS papers
+    FROM parted GROUP BY ALL"""
 )
 def write_author_index(spark, d):
     path = scratch(spark, "authors")
-    writers.write_author_index(authors.author_index(views.author_lists(spark, d)), path)
+    writers.write_author_index(authors.author_index(views.author_lists(spark, d), part_size=500), path)
     written = spark.read.schema("author string, part bigint, parts bigint, papers array<string>").json(f"{path}/authors")
-    return written.select("author", joined("papers").alias("papers"))
+    return written.select("author", "part", "parts", joined("papers").alias("papers"))

@@ -190,6 +190,11 @@ def with_(*parts: str, recursive: bool = False) -> str:
     return ("WITH RECURSIVE " if recursive else "WITH ") + ",".join(parts) + "\n"
 
 
+def quoted(values: tuple[str, ...]) -> str:
+    """Fixed values as a list of SQL texts."""
+    return ", ".join(f"'{v}'" for v in values)
+
+
 def words(x: str) -> str:
     return rf"regexp_extract_all(lower({x}), '[\p{{L}}\p{{N}}_]+')"
 
@@ -273,7 +278,7 @@ checked AS (
     CASE WHEN {whole_number('meta_year')} <> 0 THEN abs({whole_number('meta_year')} - cr_year) END AS year_difference
   FROM found f LEFT JOIN ratios s ON lower(trim(f.meta_title)) = s.a AND lower(trim(f.cr_title)) = s.b),
 matched AS (
-  SELECT *, title_valid AND year_valid AS is_valid_match, registry_doi IS NOT NULL AS author_valid,
+  SELECT *, title_valid AND year_valid AS is_valid_match, registry_doi IS NOT NULL AND has_metadata AS author_valid,
     {doi_sql('doi')} AS gold_norm, {doi_sql('registry_doi')} AS registry_norm
   FROM checked)"""
     )

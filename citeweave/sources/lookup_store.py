@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from citeweave.operators.lookup import merge_lookups
+from citeweave.operators.lookup import last_wins, merge_lookups
 
 ANSWER_SCHEMA = "title string, year string, doi string, score double, error string"
 LOOKUP_SCHEMA = "doi string, exists boolean, error_type string, ts timestamp_ntz"
@@ -30,8 +31,17 @@ def load_lookup(spark: SparkSession, path: str, schema: str = LOOKUP_SCHEMA) ->
 def upsert_lookup(
     spark: SparkSession, path: str, fresh: DataFrame, schema: str = LOOKUP_SCHEMA
 ) -> DataFrame:
-    """Merge answers into the table, the latest per DOI winning, as a new version."""
+    """Merge answers into the table as a new version.
+
+    The latest answer per DOI wins; answers to searches have no time of their own, so there
+    the fresh one per (title, year) does.
+    """
     versions = _versions(spark, path)
-    merged = merge_lookups(load_lookup(spark, path, schema), fresh)
+    known = load_lookup(spark, path, schema)
+    if "ts" in known.columns:
+        merged = merge_lookups(known, fresh)
+    else:
+        both = known.withColumn("_fresh", F.lit(0)).unionByName(fresh.withColumn("_fresh", F.lit(1)), allowMissingColumns=True)
+        merged = last_wins(both, ["title", "year"], F.col("_fresh")).drop("_fresh")
     merged.write.mode("overwrite").parquet(f"{path}/version={(versions or [0])[-1] + 1}")
     return load_lookup(spark, path, schema)
