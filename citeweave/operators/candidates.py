@@ -289,20 +289,24 @@ def _needed(hot: Column, floor: Column) -> Column:
     )
 
 
-def attach_candidate(searched: DataFrame, answers: DataFrame, registry: DataFrame) -> DataFrame:
-    """Add the answer (doi, score) and the registry metadata to each searched record.
-
-    ``searched`` has (title, lookup_year); of registry records with one doi one counts.
-    """
-    metadata = one_per(registry.select("doi", "title", "year", "authors", "venue"), "doi").select(
+def registry_details(registry: DataFrame) -> DataFrame:
+    """(registry_doi, cr_title, cr_year, cr_authors, cr_venue), one row per doi."""
+    return one_per(registry.select("doi", "title", "year", "authors", "venue"), "doi").select(
         F.col("doi").alias("registry_doi"),
         F.col("title").alias("cr_title"),
         F.col("year").alias("cr_year"),
         F.col("authors").alias("cr_authors"),
         F.col("venue").alias("cr_venue"),
     )
+
+
+def attach_candidate(searched: DataFrame, answers: DataFrame, registry: DataFrame) -> DataFrame:
+    """Add the answer (doi, score) and the registry metadata to each searched record.
+
+    ``searched`` has (title, lookup_year); of registry records with one doi one counts.
+    """
     answered = answers.withColumnRenamed("doi", "registry_doi").join(
-        metadata, "registry_doi", "left"
+        registry_details(registry), "registry_doi", "left"
     )
     return (
         searched.join(answered, ["title", "lookup_year"], "left")

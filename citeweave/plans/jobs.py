@@ -23,7 +23,7 @@ from citeweave.functions.matching import (
 )
 from citeweave.functions.text import is_blank
 from citeweave.operators.bulk import bulk_outcomes
-from citeweave.operators.candidates import attach_candidate, best_candidate
+from citeweave.operators.candidates import attach_candidate, best_candidate, registry_details
 from citeweave.operators.enrich import convert_records, enrich_by_doi, run_summary
 from citeweave.operators.evaluate import (
     best_cutoff,
@@ -44,6 +44,7 @@ from citeweave.operators.lists import PART_SIZE
 from citeweave.operators.lookup import (
     answer,
     attach_metadata,
+    last_wins,
     latest_lookup,
     merge_lookups,
     registry_exists,
@@ -61,20 +62,49 @@ def prepare_gold(
     return seeded_split(registry_exists(gold, registry, failed), n=n)
 
 
-def search(rows: DataFrame, registry: DataFrame, title: str, **options) -> DataFrame:
+def search(
+    rows: DataFrame, registry: DataFrame, title: str, answers: DataFrame | None = None, **options
+) -> DataFrame:
     """Rows with the best registry record for (title, year).
 
-    Equal searches are made once; rows without a title are not searched for.
+    Equal searches are made once; rows without a title are not searched for.  ``answers``
+    holds earlier ones as (title, year, doi, score): what it has is not searched again.
     """
+    if answers is None:
+        return _searched(rows, registry, title, **options)
+    cached = last_wins(answers.select("title", "year", "doi", "score"), ["title", "year"], F.lit(0)).select(
+        F.col("title").alias("_title"),
+        F.col("year").alias("_year"),
+        F.col("doi").alias("registry_doi"),
+        F.coalesce("score", F.lit(0.0)).alias("score"),
+        F.lit(True).alias("_cached"),
+    )
+    on = (rows[title] == cached["_title"]) & rows["year"].eqNullSafe(cached["_year"])
+    marked = rows.join(cached, on, "left").drop("_title", "_year")
+    known = marked.where("_cached").drop("_cached").join(registry_details(registry), "registry_doi", "left")
+    others = marked.where("_cached IS NULL").select(rows.columns)
+    return _searched(others, registry, title, **options).unionByName(known)
+
+
+def answers_of(found: DataFrame, title: str) -> DataFrame:
+    """Answers of a search, (title, year, doi, score), to be kept for later runs."""
+    return (
+        found.where(~is_blank(F.col(title)))
+        .select(F.col(title).alias("title"), "year", F.col("registry_doi").alias("doi"), "score")
+        .distinct()
+    )
+
+
+def _searched(rows: DataFrame, registry: DataFrame, title: str, **options) -> DataFrame:
     asked = rows.withColumn("_title", F.col(title)).withColumn(
         "lookup_year", lookup_year(F.col("year"))
     )
     wanted = asked.where(~is_blank(F.col("_title"))).select(
         F.col("_title").alias("title"), "lookup_year"
     )
-    answers = best_candidate(wanted, registry, **options)
+    best = best_candidate(wanted, registry, **options)
     renamed = asked.withColumnRenamed("title", "_own_title").withColumnRenamed("_title", "title")
-    found = attach_candidate(renamed, answers, registry)
+    found = attach_candidate(renamed, best, registry)
     return found.drop("title", "lookup_year").withColumnRenamed("_own_title", "title")
 
 

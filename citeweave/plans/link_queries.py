@@ -261,6 +261,26 @@ def bulk_validate(spark, d):
     return out.select("key", "status", "code", "doi", "score")
 
 
+@query(
+    with_(PAGES, _BULK, recursive=True)
+    + f"""SELECT o.key, CASE WHEN p.title = '' THEN 'no_title' WHEN a.title IS NULL THEN code
+        WHEN a.score < 20 THEN 'low_score' ELSE 'invalid' END AS code,
+      CASE WHEN a.title IS NULL OR p.title = '' THEN o.doi ELSE {doi_sql('a.doi')} END AS doi,
+      CASE WHEN a.title IS NULL OR p.title = '' THEN o.score ELSE coalesce(a.score, 0) END AS score
+    FROM outcomes o JOIN publications p ON o.key = p.key
+    LEFT JOIN answers a ON p.title = a.title AND p.year IS NOT DISTINCT FROM a.year"""
+)
+def bulk_validate_cached(spark, d):
+    """Bulk validation where part of the searches have been answered before.
+
+    The kept answers name other DOIs than a search would find, which shows that they count.
+    """
+    out = jobs.bulk_validate(
+        views.publications(spark, d), views.registry(spark, d), F.lit(20.0), answers=views.answers(spark, d)
+    )
+    return out.select("key", "code", "doi", "score")
+
+
 @query(
     with_(PAGES, _BULK, recursive=True)
     + """SELECT count(*) AS total, count(*) FILTER (code IS NULL) AS validated, count(*) FILTER (code IS NOT NULL) AS rejected,
