@@ -17,9 +17,9 @@ that this doesn't cover either index H + 1 single shingles.  So no pair is misse
 
 *Candidates.*  Equal sets are one node from the start.  Index entries travel packed, per slice of
 documents and bucket; what comes back is the runs of nodes with an equal entry.  Nodes are
-first compared with the first node of a run; only nodes of a run that this leaves in different
-components are compared with each other.  Components are all that is asked for, so no link
-between different texts is lost.
+first compared with the heaviest node they share a run with; only nodes of a run that this
+leaves in different components are compared with each other, by sketches that prove most pairs
+apart.  Components are all that is asked for, so no link between different texts is lost.
 
 *Verification* compares the whole shingle sets.  Shingles and sets are known by 64-bit hashes.
 
@@ -30,7 +30,7 @@ answered each; an empty table gives an empty answer.  Other columns are left out
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citeweave.llm.graph import components
-from citeweave.llm.words import Hashes, binary, plain_words, scatter, slices
+from citeweave.llm.words import binary, scatter, shingle_sets, slices
 from citeweave.session import materialize
 
 WORDS = 5
@@ -50,26 +50,31 @@ BUCKET_ENTRIES = 3_000_000
 #: Frequent shingles that go to the end of the order: a bound on what is sent, not on results.
 FREQUENT = 1 << 16
 _FREQUENT_BITS = 22
+#: Bits of the sketches of the largest sets.
+SKETCH_BITS = 8192
+#: Nodes of a run that are compared with each other in one task.
+BLOCK = 4096
+#: Rows of small runs that a task of the second look aims at.
+GROUP_ROWS = 50_000
 _U = np.uint64
-
-
-def shingle_set(words: list[bytes], seen: Hashes, width: int = WORDS) -> np.ndarray:
-    """Sorted 64-bit hashes of the distinct shingles."""
-    if not words:
-        return np.empty(0, _U)
-    hashes = seen.array(words)
-    width = min(width, len(words))
-    n = len(words) - width + 1
-    total = np.full(n, width, _U)
-    with np.errstate(over="ignore"):
-        for k in range(width):
-            total = total * _U(0x9E3779B97F4A7C15) + hashes[k : k + n]
-    return np.unique(scatter(total))
+_Task = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
 def set_key(shingles: np.ndarray) -> int:
     """Signed 64-bit hash of a whole set."""
-    return int(np.uint64(xxhash.xxh3_64_intdigest(shingles.tobytes())).astype(np.int64))
+    return int.from_bytes(xxhash.xxh3_64_digest(shingles.tobytes()), "big", signed=True)
+
+
+def sketch(shingles: np.ndarray) -> bytes:
+    """Parities of the shingles per value of their low bits, four bits or more per shingle up to a limit.
+
+    Two sets differ in at least as many shingles as their sketches differ in bits.
+    """
+    n_bits = 512
+    while n_bits < min(4 * len(shingles), SKETCH_BITS):
+        n_bits *= 2
+    odd = np.bincount((shingles & _U(n_bits - 1)).astype(np.int64), minlength=n_bits) & 1
+    return np.packbits(odd.astype(bool)).tobytes()
 
 
 class Windows:
@@ -78,12 +83,13 @@ class Windows:
     def __init__(self, percent: int) -> None:
         self.percent = percent
         self.bands = [1]
+        self._places: dict[int, np.ndarray] = {}
 
     def differences(self, both: int) -> int:
         return (100 - self.percent) * both // (100 + self.percent)
 
-    def of(self, size: int) -> list[tuple[int, int, int]]:
-        """(window, segments, differences that a partner may make) of all windows of a size."""
+    def of(self, size: int) -> list[tuple[int, int]]:
+        """(window, differences that a partner may make) of all windows of a size."""
         while self.bands[-1] <= size:
             self.bands.append(max(self.bands[-1] + 1, self.bands[-1] * 3 // 2))
         found = []
@@ -92,51 +98,56 @@ class Windows:
             top = (after - 1) * 100 // self.percent
             if low <= size <= top:
                 partner = min(size * 100 // self.percent, top) if size < after else after - 1
-                found.append((k, max(1, low * 9 // 10), self.differences(size + partner)))
+                found.append((k, self.differences(size + partner)))
         return found
 
+    def places(self, window: int) -> np.ndarray:
+        """A random number for each of the window's segments."""
+        if window not in self._places:
+            n = max(1, self.bands[window] * 9 // 10)
+            self._places[window] = scatter(np.arange(n, dtype=_U) + _U((window + 1) << 34))
+        return self._places[window]
+
 
 def index_entries(shingles: np.ndarray, windows: Windows, frequent: np.ndarray) -> np.ndarray:
     """64-bit index entries of one set in all its windows."""
     out = []
-    mixed = scatter(shingles)
     often = frequent[(shingles & _U(len(frequent) - 1)).astype(np.int64)]
-    spread = (mixed >> _U(33)).astype(np.int64)
-    with np.errstate(over="ignore"):
-        for window, n_segments, differences in windows.of(len(shingles)):
-            segment = spread % n_segments
-            order = np.argsort(segment, kind="stable")
-            segment, content = segment[order], mixed[order]
-            first = np.flatnonzero(np.diff(segment, prepend=-1))
-            whole = np.add.reduceat(content, first)
-            size = np.diff(first, append=len(order))
-            place = scatter(segment[first].astype(_U) + _U((window + 1) << 34))
-            entry = scatter(whole ^ place)
-            needed = differences + 1
-            if len(entry) > needed:
-                rare = size - np.add.reduceat(often[order], first)
-                cost = 8 - 3 * np.minimum(rare, 2) - np.minimum(size, 2)
-                key = (cost.astype(_U) << _U(60)) | (entry >> _U(4))
-                entry = entry[np.argpartition(key, needed - 1)[:needed]]
-            out.append(entry)
-            if len(first) < needed:
-                each = np.repeat(np.arange(len(first)), size)
-                less = (whole[each] - content)[size[each] > 1]
-                both = np.concatenate([whole ^ place, less ^ place[each][size[each] > 1]])
-                out.append(scatter(both + _U(1)))
-                if len(first) + int((size > 1).sum()) < needed:
-                    out.append(scatter(np.sort(mixed)[:needed] ^ scatter(np.array([window + 1], _U) << _U(50))))
+    spread = shingles >> _U(32)
+    for window, differences in windows.of(len(shingles)):
+        places = windows.places(window)
+        segment = (spread * _U(len(places)) >> _U(32)).astype(np.uint16 if len(places) < 1 << 16 else np.int64)
+        order = np.argsort(segment, kind="stable")
+        segment, content = segment[order], shingles[order]
+        first = np.flatnonzero(np.concatenate([[True], segment[1:] != segment[:-1]]))
+        whole = np.add.reduceat(content, first)
+        place = places[segment[first]]
+        entry = whole ^ place
+        needed = differences + 1
+        size = np.concatenate([first[1:], [len(order)]]) - first
+        if len(entry) > needed:
+            rare = size - np.add.reduceat(often[order], first, dtype=np.int64)
+            cost = 8 - 3 * np.minimum(rare, 2) - np.minimum(size, 2)
+            key = (cost.astype(_U) << _U(60)) | (entry >> _U(4))
+            entry = entry[np.argpartition(key, needed - 1)[:needed]]
+        out.append(entry)
+        if len(first) < needed:
+            several = np.repeat(size > 1, size)
+            less = np.repeat(whole, size)[several] - content[several]
+            both = np.concatenate([whole ^ place, less ^ np.repeat(place, size)[several]])
+            out.append(scatter(both + _U(1)))
+            if len(first) + int((size > 1).sum()) < needed:
+                out.append(scatter(shingles[:needed] ^ places[:1]))
     return np.concatenate(out) if out else np.empty(0, _U)
 
 
-_SETS = "doc_id long, n_shingles long, node long, frequent binary"
+_SETS = "doc_id long, n_shingles long, node long, sketch binary, frequent binary"
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per document; the first of each slice also carries the slice's frequent shingles."""
-    seen = Hashes()
     for batch in slices(batches, "text"):
-        sets = [shingle_set(plain_words(t), seen) for t in binary(batch.column("text"))]
+        sets = shingle_sets(binary(batch.column("text")), WORDS)
         frequent: list[bytes | None] = [None] * len(sets)
         values, counts = np.unique(np.concatenate(sets), return_counts=True)
         chosen = counts >= max(4, len(sets) // 250)
@@ -146,9 +157,10 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 batch.column("doc_id").cast(pa.int64()),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([set_key(s) for s in sets], pa.int64()),
+                pa.array([sketch(s) for s in sets], pa.binary()),
                 pa.array(frequent, pa.binary()),
             ],
-            names=["doc_id", "n_shingles", "node", "frequent"],
+            names=["doc_id", "n_shingles", "node", "sketch", "frequent"],
         )
 
 
@@ -180,12 +192,11 @@ def _packed_index(docs: DataFrame, bits: np.ndarray, n_buckets: int, percent: in
     sent = docs.sparkSession.sparkContext.broadcast(np.packbits(bits))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, windows = Hashes(), Windows(percent)
+        windows = Windows(percent)
         frequent = np.unpackbits(sent.value).astype(bool)
         for batch in slices(batches, "text"):
             nodes: dict[int, np.ndarray] = {}
-            for text in binary(batch.column("text")):
-                shingles = shingle_set(plain_words(text), seen)
+            for shingles in shingle_sets(binary(batch.column("text")), WORDS):
                 if len(shingles) and (node := set_key(shingles)) not in nodes:
                     nodes[node] = index_entries(shingles, windows, frequent)
             if not nodes:
@@ -243,34 +254,110 @@ def _runs(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"nodes": [*pairs, *(np.frombuffer(x, np.int64) for x in sorted(longer))]})
 
 
-def _linked(percent: int):
+def _folded(sketches: list[bytes], n_bytes: int) -> np.ndarray:
+    """Sketches brought to one length, a row of 64-bit words each."""
+    rows = [np.bitwise_xor.reduce(np.frombuffer(s, _U).reshape(-1, n_bytes // 8), axis=0) for s in sketches]
+    return np.array(rows)
+
+
+def _may_link(percent: int) -> _Task:
+    """Pairs whose sizes and sketches don't rule a link out."""
+
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = Hashes()
-        last, kept = None, None
         for batch in batches:
-            a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
+            a, b = batch.column("sketch_a").to_pylist(), batch.column("sketch_b").to_pylist()
+            n_a, n_b = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
+            found = [
+                int(np.bitwise_count(np.bitwise_xor(*(_folded([s], min(len(x), len(y)))[0] for s in (x, y)))).sum())
+                for x, y in zip(a, b, strict=True)
+            ]
+            good = 100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b)
+            good &= np.array(found, np.int64) <= (100 - percent) * (n_a + n_b) // (100 + percent)
+            yield batch.select(["a", "b"]).filter(pa.array(good))
+
+    return check
+
+
+def _compare(percent: int) -> Callable[[tuple, pd.DataFrame], pd.DataFrame]:
+    """Distinct pairs (a < b) of nodes of a run, in different components, that may link."""
+
+    def compare(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        _, i, j = key
+        group = group.sort_values("run")
+        names, first, local = np.unique(group["node"].to_numpy(np.int64), return_index=True, return_inverse=True)
+        root = group["root"].to_numpy(np.int64)[first]
+        n = group["n_shingles"].to_numpy(np.int64)[first]
+        sketches = [group["sketch"].iloc[k] for k in first.tolist()]
+        length = np.array([len(x) for x in sketches])
+        block = group["block"].to_numpy(np.int64)
+        run = group["run"].to_numpy(np.int64)
+        cuts = np.flatnonzero(np.diff(run, prepend=~run[:1], append=~run[-1:]))
+
+        def pairs() -> Iterator[np.ndarray]:
+            """Codes of the pairs of each run that are to be compared, a stretch of nodes at a time."""
+            for start, stop in zip(cuts, cuts[1:], strict=False):
+                own, at = local[start:stop], block[start:stop]
+                step = max(1, (1 << 20) // len(own))
+                for k in range(0, len(own), step):
+                    one, other = own[k : k + step, None], own[None, :]
+                    open_pair = (one < other) & (root[one] != root[other])
+                    if i != j:
+                        open_pair &= at[k : k + step, None] != at[None, :]
+                    yield (one * len(names) + other)[open_pair]
+
+        def possible(codes: np.ndarray) -> np.ndarray:
+            a, b = np.divmod(codes, len(names))
+            near = 100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b])
+            codes, a, b = codes[near], a[near], b[near]
+            shorter = np.minimum(length[a], length[b])
+            kept = [codes[:0]]
+            for size in np.unique(shorter):
+                places = np.flatnonzero(length >= size)
+                rows = np.zeros((len(names), size // 8), _U)
+                rows[places] = _folded([sketches[k] for k in places.tolist()], int(size))
+                for part in np.array_split(np.flatnonzero(shorter == size), 1 + len(codes) // 50_000):
+                    apart = np.bitwise_count(rows[a[part]] ^ rows[b[part]]).sum(1, dtype=np.int64)
+                    kept.append(codes[part[apart <= (100 - percent) * (n[a[part]] + n[b[part]]) // (100 + percent)]])
+            return np.concatenate(kept)
+
+        found, held, size = [], [], 0
+        for codes in pairs():
+            held.append(codes)
+            size += len(codes)
+            if size > 1 << 21:
+                found.append(possible(np.unique(np.concatenate(held))))
+                held, size = [], 0
+        found.append(possible(np.unique(np.concatenate([*held, np.empty(0, np.int64)]).astype(np.int64))))
+        a, b = np.divmod(np.unique(np.concatenate(found)), len(names))
+        return pd.DataFrame({"a": names[a], "b": names[b]})
+
+    return compare
+
+
+def _linked(percent: int) -> _Task:
+    """Pairs of which the whole shingle sets link."""
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text_b"):
+            a = batch.column("a").to_pylist()
+            # Rows come by `a`: its set is made once per slice.
+            rows = {name: row for row, name in enumerate(a)}
+            texts = batch.column("text_a").take(pa.array(list(rows.values()), pa.int64()))
+            left = dict(zip(rows, shingle_sets(binary(texts), WORDS), strict=True))
             good = []
-            for one, left, right in zip(a, binary(batch.column("text_a")), binary(batch.column("text_b")), strict=True):
-                if one != last:
-                    last, kept = one, shingle_set(plain_words(left), seen)
-                other = shingle_set(plain_words(right), seen)
-                common = len(np.intersect1d(kept, other, assume_unique=True))
-                good.append(100 * common >= percent * (len(kept) + len(other) - common))
-            mask = pa.array(good, pa.bool_())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("a").filter(mask), batch.column("b").filter(mask)], names=["a", "b"]
-            )
+            for name, other in zip(a, shingle_sets(binary(batch.column("text_b")), WORDS), strict=True):
+                common = len(np.intersect1d(left[name], other, assume_unique=True))
+                good.append(100 * common >= percent * (len(left[name]) + len(other) - common))
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return check
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of nodes that link."""
-    left = texts.select(F.col("node").alias("a"), F.col("n_shingles").alias("n_a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("node").alias("b"), F.col("n_shingles").alias("n_b"), F.col("text").alias("text_b"))
-    sized = pairs.join(left.select("a", "n_a"), "a").join(right.select("b", "n_b"), "b")
-    near = sized.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")).select("a", "b")
-    both = near.join(right.select("b", "text_b"), "b").join(left.select("a", "text_a"), "a")
+    """The pairs (a, b) of nodes that link, by their whole texts."""
+    left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
+    right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
+    both = pairs.join(right, "b").join(left, "a")
     return both.select("a", "b", "text_a", "text_b").mapInArrow(_linked(percent), "a long, b long")
 
 
@@ -278,30 +365,32 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id), a row per row of `docs` with a doc_id."""
     plain = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
     sets = materialize(plain.mapInArrow(_sets, _SETS), "shingle-sets")
-    classes = sets.where("n_shingles > 0").groupBy("node", "n_shingles").agg(F.min("doc_id").alias("first_doc"))
-    total = classes.agg(F.sum("n_shingles")).first()[0] or 0
+    classes = sets.where("n_shingles > 0").groupBy("node").agg(
+        F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"), F.min("doc_id").alias("first_doc")
+    )
+    total = sets.agg(F.sum("n_shingles")).first()[0] or 0
     n_buckets = max(1, round(0.6 * total / BUCKET_ENTRIES))
     packed = _packed_index(plain, frequent_bits(sets), n_buckets, percent)
     runs = materialize(packed.groupBy("bucket").applyInPandas(_runs, "nodes array<long>").distinct(), "jaccard-runs")
-    members = runs.select(F.explode("nodes").alias("node")).distinct()
-    involved = materialize(classes.join(members, "node"), "jaccard-nodes")
+    members = materialize(
+        runs.select(F.xxhash64("nodes").alias("run"), F.size("nodes").alias("size"), F.explode("nodes").alias("node")), "jaccard-members"
+    )
+    weights = members.groupBy("node").agg(F.sum("size").alias("weight"))
+    nodes = materialize(classes.join(weights, "node"), "jaccard-nodes")
     texts = materialize(
-        plain.join(involved.withColumnRenamed("first_doc", "doc_id"), "doc_id").dropDuplicates(["node"]), "jaccard-texts"
+        plain.join(nodes.select("node", F.col("first_doc").alias("doc_id")), "doc_id").dropDuplicates(["node"]), "jaccard-texts"
     )
-    # First look: every node against the first node of its runs, once.
-    star = runs.select(F.get("nodes", F.lit(0)).alias("a"), F.explode("nodes").alias("b")).where("a <> b")
-    first = materialize(star.groupBy("b").agg(F.min("a").alias("a")), "jaccard-first")
-    links = materialize(_verified(first, texts, percent), "jaccard-links")
+    first = materialize(_leaders(members, nodes), "jaccard-first")
+    links = materialize(_verified(_sketched(first, nodes, percent), texts, percent), "jaccard-links")
+    linked = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    more = _open_pairs(members, nodes, linked, percent).join(first, ["a", "b"], "left_anti")
+    links = links.unionByName(materialize(_verified(more, texts, percent), "jaccard-links"))
     linked = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    # Second look: pairs of nodes in different components, of the runs that have such.
-    open_runs = _open_pairs(runs, linked).join(first, ["a", "b"], "left_anti")
-    more = materialize(_verified(open_runs, texts, percent), "jaccard-links")
-    linked = components(links.unionByName(more).select(F.col("a").alias("u"), F.col("b").alias("v")))
-    rooted = linked.join(classes.select("node", "first_doc"), "node")
+    rooted = linked.join(nodes.select("node", "first_doc"), "node")
     smallest = rooted.groupBy("root").agg(F.min("first_doc").alias("component"))
     known = rooted.join(smallest, "root").select("node", "component")
-    own = classes.select("node", "first_doc").join(known, "node", "left")
-    named = own.select("node", F.coalesce("component", "first_doc").alias("component"))
+    named = classes.select("node", "first_doc").join(known, "node", "left")
+    named = named.select("node", F.coalesce("component", "first_doc").alias("component"))
     return sets.join(named, "node", "left").select(
         "doc_id",
         "n_shingles",
@@ -309,18 +398,50 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
 
 
+def _leaders(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """First look: pairs (a < b) of each node and the heaviest node it shares a run with.
+
+    A node weighs what its runs hold together, so the text that many others were copied from
+    tends to lead them.
+    """
+    weighed = members.join(nodes.select("node", "weight"), "node")
+    order = F.struct("weight", "node")
+    heaviest = weighed.groupBy("run").agg(F.max(order).alias("leader"))
+    led = members.join(heaviest, "run").where("node <> leader.node")
+    best = led.groupBy("node").agg(F.max("leader").alias("leader"))
+    return best.select(
+        F.least("node", "leader.node").alias("a"), F.greatest("node", "leader.node").alias("b")
+    ).distinct()
+
+
+def _sketched(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs that sizes and sketches leave."""
+    sides = [
+        nodes.select(F.col("node").alias(s), F.col("n_shingles").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}")) for s in "ab"
+    ]
+    return pairs.join(sides[0], "a").join(sides[1], "b").mapInArrow(_may_link(percent), "a long, b long")
+
+
 def clean_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """`docs`, same columns, with the smallest doc_id of each component only."""
     found = jaccard_components(docs, percent).where("component_id <> doc_id")
     return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
 
 
-def _open_pairs(runs: DataFrame, linked: DataFrame) -> DataFrame:
-    """Distinct pairs (a < b) of nodes that share a run but no component."""
-    numbered = runs.where(F.size("nodes") > 2).select(F.xxhash64("nodes").alias("run"), F.explode("nodes").alias("node"))
-    placed = numbered.join(linked, "node", "left").select("run", "node", F.coalesce("root", "node").alias("root"))
+def _open_pairs(members: DataFrame, nodes: DataFrame, linked: DataFrame, percent: int) -> DataFrame:
+    """Second look: pairs (a < b) that share a run but no component and that sketches leave.
+
+    The nodes of a run that holds several components are compared in one task, or block by
+    block in several; only pairs that may link come out.
+    """
+    placed = members.join(linked, "node", "left").select("run", "size", "node", F.coalesce("root", "node").alias("root"))
     mixed = placed.groupBy("run").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    still = placed.join(mixed.select("run"), "run", "left_semi")
-    other = still.select("run", F.col("node").alias("b"), F.col("root").alias("root_b"))
-    pairs = still.withColumnRenamed("node", "a").join(other, "run").where("a < b AND root <> root_b")
-    return pairs.select("a", "b").distinct()
+    still = placed.join(mixed.select("run"), "run", "left_semi").join(nodes.select("node", "n_shingles", "sketch"), "node")
+    n_blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    block = F.pmod(F.xxhash64("node"), n_blocks).cast("int")
+    dealt = still.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
+    # Small runs share a task by the thousand; pairs they have in common come out once.
+    n_groups = max(1, members.count() // GROUP_ROWS)
+    place = F.when(n_blocks > 1, F.col("run")).otherwise(F.pmod("run", F.lit(n_groups)))
+    pairs = dealt.groupBy(place.alias("place"), F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    return pairs.applyInPandas(_compare(percent), "a long, b long").distinct()
