@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeweave.llm import decontaminate, jaccard, lines, packing, quality, token_files, warc
+from citeweave.llm import chat, decontaminate, html_main, jaccard, licences, lines, packing, quality, token_files, warc
 from citeweave.session import materialize
 
 
@@ -23,6 +23,21 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.reply_ordered(table(spark, sf_dir, "conversations"))
+
+
+def op2_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_main.extract(pages, html_main.train(html_main.sample_pages(pages)))
+
+
+def op3_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = licences.train(licences.sample_paragraphs(docs))
+    return licences.scan(docs, model).drop("found")
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -73,6 +88,9 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_quotation_linking,
+        op2_html_main_text,
+        op3_licence_scan,
         op4_ngram_jaccard_join,
         op5_line_dedup,
         op6_best_fit_packing,
@@ -94,3 +112,33 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 100 AND page_id <> first_page THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN payload_bytes >= 100 AND page_id <> first_page THEN first_page END AS refers_to
 FROM f"""
+
+SQL["op1_quotation_linking"] = r"""
+WITH RECURSIVE lines AS (
+  SELECT conv_id, turn, unnest(string_split(text, chr(10))) AS line FROM conversations),
+marked AS (
+  SELECT conv_id, turn, regexp_extract(line, '^[ \t]*(?:>[ \t]*)+') AS signs, line FROM lines),
+levelled AS (
+  SELECT conv_id, turn, length(signs) - length(replace(signs, '>', '')) AS level,
+         lower(trim(regexp_replace(substr(line, length(signs) + 1), '[ \t\r]+', ' ', 'g'), ' ')) AS line
+  FROM marked WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+own AS (SELECT conv_id, line, min(turn) AS original FROM levelled WHERE level = 0 AND line <> '' GROUP BY ALL),
+linked AS (
+  SELECT q.conv_id, q.turn, q.level, o.original, count(*) AS n
+  FROM levelled q JOIN own o ON o.conv_id = q.conv_id AND o.line = q.line
+  WHERE q.level > 0 AND o.original < q.turn GROUP BY ALL),
+answers AS (
+  SELECT conv_id, turn, original AS reply_to FROM linked
+  QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY level, n DESC, original DESC) = 1),
+chains AS (
+  SELECT conv_id, turn, reply_to AS thread FROM answers
+  UNION ALL
+  SELECT c.conv_id, c.turn, a.reply_to FROM chains c JOIN answers a ON a.conv_id = c.conv_id AND a.turn = c.thread),
+roots AS (SELECT conv_id, turn, min(thread) AS thread FROM chains GROUP BY ALL),
+cleaned AS (
+  SELECT conv_id, turn, role, string_split(coalesce(text, ''), chr(10)) AS x FROM conversations)
+SELECT c.conv_id, coalesce(r.thread, c.turn) AS thread, c.turn, c.role,
+       array_to_string(list_filter(c.x, lambda l: NOT regexp_matches(l, '^[ \t]*(?:>[ \t]*)+')), chr(10)) AS text,
+       a.reply_to, len(list_filter(c.x, lambda l: regexp_matches(l, '^[ \t]*(?:>[ \t]*)+'))) AS n_quoted
+FROM cleaned c LEFT JOIN answers a ON a.conv_id = c.conv_id AND a.turn = c.turn
+LEFT JOIN roots r ON r.conv_id = c.conv_id AND r.turn = c.turn"""
