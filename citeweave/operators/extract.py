@@ -21,6 +21,10 @@ from .lists import PART_SIZE, with_parts
 from .lookup import last_wins
 
 
+#: Rounds of hashing after which a length counts as too crowded.
+CROWDED = 8
+
+
 def in_journal(
     venue: Column,
     issns: tuple[str, ...] = (TARGET_ISSN, PRINT_ISSN),
@@ -127,14 +131,15 @@ def short_ids(ids: DataFrame, length: int = SHORT_ID_LENGTH) -> DataFrame:
 
     Ids whose short form is taken by a smaller id are hashed again with a suffix, until none
     is left.  The first round shuffles all ids; the later ones handle the few losers only.
-    The short forms must be able to tell the ids apart.
+    Every ``CROWDED`` rounds the form gets one character longer, so that the search ends even
+    where there are too few forms of the wanted length.
     """
     claims = materialize(_claim(ids.select("id").distinct(), F.col("id"), length), "short-ids")
     settled, losers = claims.where("id = winner"), claims.where("id <> winner").select("id")
     attempt = 0
     while not losers.isEmpty():
         attempt += 1
-        again = _claim(losers, F.concat("id", F.lit(f"#{attempt}")), length)
+        again = _claim(losers, F.concat("id", F.lit(f"#{attempt}")), length + attempt // CROWDED)
         taken = settled.select("short_id", F.lit(True).alias("taken"))
         again = materialize(
             again.join(taken, "short_id", "left").withColumn(
