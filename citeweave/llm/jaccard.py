@@ -251,7 +251,8 @@ def _runs(group: pd.DataFrame) -> pd.DataFrame:
     two = starts[lengths == 2]
     pairs = np.unique(np.stack([nodes[two], nodes[two + 1]], 1), axis=0)
     longer = {nodes[a : a + n].tobytes() for a, n in zip(starts[lengths > 2], lengths[lengths > 2], strict=True)}
-    return pd.DataFrame({"nodes": [*pairs, *(np.frombuffer(x, np.int64) for x in sorted(longer))]})
+    found = [*pairs, *(np.frombuffer(x, np.int64) for x in sorted(longer))]
+    return pd.DataFrame({"nodes": pd.Series(found, dtype=object)})
 
 
 def _folded(sketches: list[bytes], n_bytes: int) -> np.ndarray:

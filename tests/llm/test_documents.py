@@ -114,6 +114,13 @@ def test_jaccard_blocks_and_tiny_sets(spark, monkeypatch, seed):
     assert by_id(jaccard.jaccard_components(df), "n_shingles", "component_id") == brute.jaccard(rows)
 
 
+def test_jaccard_of_unlike_texts(spark):
+    """Buckets in which no two texts share anything."""
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(9))) for i in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert by_id(jaccard.jaccard_components(df), "component_id") == {i: (i,) for i in range(5)}
+
+
 def test_jaccard_clean_documents(frame, docs):
     want = {i for i, (_, c) in brute.jaccard(docs).items() if i == c}
     clean = jaccard.clean_documents(frame)
