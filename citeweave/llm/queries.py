@@ -142,3 +142,80 @@ SELECT c.conv_id, coalesce(r.thread, c.turn) AS thread, c.turn, c.role,
        a.reply_to, len(list_filter(c.x, lambda l: regexp_matches(l, '^[ \t]*(?:>[ \t]*)+'))) AS n_quoted
 FROM cleaned c LEFT JOIN answers a ON a.conv_id = c.conv_id AND a.turn = c.turn
 LEFT JOIN roots r ON r.conv_id = c.conv_id AND r.turn = c.turn"""
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+SQL["op4_ngram_jaccard_join"] = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(string_split_regex({_LOWER.format("coalesce(text, '')")}, '[ \t-\r]+'), lambda w: w <> '') AS words
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(words[i : i + 4], ' ') AS shingle
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 2))) AS i FROM d WHERE len(words) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+reached AS (
+  SELECT doc_id, doc_id AS other FROM d
+  UNION
+  SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other)
+SELECT r.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(other) AS component_id
+FROM reached r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id"""
+
+SQL["op5_line_dedup"] = f"""
+WITH parts AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS x FROM documents),
+lines AS (SELECT doc_id, unnest(range(len(x))) AS i, unnest(x) AS line FROM parts),
+keyed AS (SELECT *, {_LOWER.format(f"trim(line, {_BLANKS})")} AS key FROM lines),
+held AS (SELECT key, min(doc_id) AS first_doc FROM keyed WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) > 1),
+marked AS (SELECT k.*, first_doc IS NOT NULL AND first_doc <> doc_id AS dropped FROM keyed k LEFT JOIN held h ON k.key = h.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT dropped), '')) AS kept_sha256
+FROM marked GROUP BY doc_id"""
+
+SQL["op9_benchmark_decontamination"] = rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+b AS (
+  SELECT item_id, words, least(10, len(words)) AS n
+  FROM (SELECT item_id, regexp_extract_all({_LOWER.format("text")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark)
+  WHERE len(words) > 0),
+wanted AS (
+  SELECT DISTINCT item_id, n, array_to_string(words[i : i + n - 1], ' ') AS g
+  FROM (SELECT *, unnest(range(1, len(words) - n + 2)) AS i FROM b)),
+windows AS (
+  SELECT doc_id, i, n, array_to_string(words[i : i + n - 1], ' ') AS g
+  FROM (SELECT doc_id, words, n, unnest(range(1, len(words) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM wanted) WHERE len(words) >= n)),
+found AS (SELECT doc_id, i, w.n, item_id FROM windows w JOIN wanted v ON w.n = v.n AND w.g = v.g),
+hit AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS place FROM found) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id)
+SELECT d.doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit ON hit.doc_id = d.doc_id LEFT JOIN items ON items.doc_id = d.doc_id"""
+
+SQL["op10_quality_rules"] = r"""
+WITH d AS (
+  SELECT doc_id, t, list_filter(string_split_regex(t, '[ \t-\r]+'), lambda w: w <> '') AS words,
+    list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^ \t-\r]')) AS lines
+  FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)),
+windows AS (
+  SELECT doc_id, i, words[i : i + 2] AS g FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM d)),
+repeated AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+covered AS (SELECT doc_id, count(DISTINCT place) AS n FROM (SELECT doc_id, unnest(range(i, i + 3)) AS place FROM repeated) GROUP BY doc_id),
+m AS (
+  SELECT d.doc_id, len(words)::BIGINT AS n_words, length(regexp_replace(t, '[ \t-\r]+', '', 'g'))::BIGINT AS word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
+    (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words,
+    len(lines)::BIGINT AS n_lines, length(regexp_replace(t, '\P{L}+', '', 'g'))::BIGINT AS n_letters,
+    length(regexp_replace(t, '\P{Lu}+', '', 'g'))::BIGINT AS n_upper, length(regexp_replace(t, '[^!]+', '', 'g'))::BIGINT AS n_exclamations
+  FROM d LEFT JOIN covered c ON c.doc_id = d.doc_id),
+f AS (
+  SELECT *, CASE WHEN n_words < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 2 ELSE 0 END
+    + CASE WHEN 10 * n_symbols > 3 * n_words THEN 4 ELSE 0 END + CASE WHEN 10 * n_upper > 6 * n_letters THEN 8 ELSE 0 END
+    + CASE WHEN 10 * n_exclamations > 4 * n_words THEN 16 ELSE 0 END + CASE WHEN word_chars < 2 * n_words THEN 32 ELSE 0 END
+    + CASE WHEN word_chars > 14 * n_words THEN 64 ELSE 0 END + CASE WHEN 10 * n_dup_lines > 6 * n_lines THEN 128 ELSE 0 END AS bits
+  FROM m)
+SELECT * EXCLUDE (bits), bits::BIGINT AS failures, bits & 3 <> 0 AS base_failed, bits = 0 AS kept FROM f"""
