@@ -206,15 +206,26 @@ class Enrichment:
 
 
 def enrich(
-    entries: DataFrame, lookups: DataFrame, metadata: DataFrame, now: Column
+    entries: DataFrame,
+    lookups: DataFrame,
+    metadata: DataFrame,
+    now: Column,
+    retries: DataFrame | None = None,
 ) -> Enrichment:
     """Look up what the lookup table lacks, then report and convert every entry.
 
-    ``fresh`` are the new answers, to be merged into the lookup table.
+    ``retries`` is the retry set (key, doi) of an earlier run: its entries take part again,
+    and are asked for whatever the lookup table says.  A metadata row may carry an
+    ``error_type``, the failure of its lookup.  ``fresh`` are the new answers, to be merged
+    into the lookup table.
     """
     known = latest_lookup(lookups.select("doi", "exists", "error_type", "ts"))
+    settled = known
+    if retries is not None:
+        settled = known.join(retries.select("doi").distinct(), "doi", "left_anti")
+        entries = entries.select("key", "doi").unionByName(retries.select("key", "doi")).distinct()
     asked = entries.select("doi").distinct()
-    fresh = answer(uncached(asked, known), metadata, now)
+    fresh = materialize(answer(uncached(asked, settled), metadata, now), "answers")
     results = materialize(enrich_by_doi(entries, merge_lookups(known, fresh)), "enriched")
     return Enrichment(results, convert_records(results, metadata), run_summary(results), fresh)
 

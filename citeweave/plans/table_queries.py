@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citeweave.functions.errors import is_retryable
@@ -373,18 +375,25 @@ def prepare_gold(spark, d):
     return gold.select("key", "on_registry", "lookup_error", "split")
 
 
+# Some lookups of the metadata fail; remainders only vary the answers.
+_FAILURE = """CASE WHEN cast(substr(doi, 9) AS bigint) % 7 = 0 THEN 'Timeout'
+      WHEN cast(substr(doi, 9) AS bigint) % 11 = 0 THEN 'HTTP_404' END"""
+
 _ENRICHED = f"""
 clean AS (SELECT key, {doi_sql('doi', True)} AS doi FROM entries WHERE {doi_sql('doi', True)} IS NOT NULL),
 settled AS (SELECT doi, exists_flag, error_type FROM latest WHERE NOT {retryable_sql('error_type')}),
 results AS (
-  SELECT key, c.doi, CASE WHEN CASE WHEN s.doi IS NULL THEN m.doi IS NOT NULL ELSE exists_flag END THEN 'found' ELSE 'not found' END AS status,
-    s.error_type
-  FROM clean c LEFT JOIN settled s ON c.doi = s.doi LEFT JOIN (SELECT doi FROM metadata) m ON c.doi = m.doi)"""
+  SELECT key, c.doi, CASE WHEN CASE WHEN s.doi IS NULL THEN m.doi IS NOT NULL AND failure IS NULL ELSE exists_flag END
+      THEN 'found' ELSE 'not found' END AS status,
+    CASE WHEN s.doi IS NULL THEN failure ELSE s.error_type END AS error_type
+  FROM clean c LEFT JOIN settled s ON c.doi = s.doi
+  LEFT JOIN (SELECT doi, {_FAILURE} AS failure FROM metadata) m ON c.doi = m.doi)"""
 
 
 def _enriched(spark, d):
     entries = readers.key_doi_rows(views.entries(spark, d))
-    return jobs.enrich(entries, _plain_lookups(spark, d), views.metadata(spark, d), _now())
+    metadata = views.metadata(spark, d).withColumn("error_type", F.expr(_FAILURE))
+    return jobs.enrich(entries, _plain_lookups(spark, d), metadata, _now())
 
 
 @query(with_(PAPERS, METADATA, ENTRIES, LOOKUPS, _ENRICHED) + "SELECT key, doi, status, error_type FROM results")
@@ -394,8 +403,9 @@ def enrich_entries(spark, d):
 
 @query(
     with_(PAPERS, METADATA, ENTRIES, LOOKUPS, _ENRICHED)
-    + """SELECT count(*) AS total, count(*) FILTER (status = 'found') AS success, count(*) FILTER (status <> 'found') AS failure,
-      round(count(*) FILTER (status = 'found') / count(*)::DOUBLE, 6) AS success_ratio, 0 AS retry_candidates FROM results"""
+    + f"""SELECT count(*) AS total, count(*) FILTER (status = 'found') AS success, count(*) FILTER (status <> 'found') AS failure,
+      round(count(*) FILTER (status = 'found') / count(*)::DOUBLE, 6) AS success_ratio,
+      count(*) FILTER (status <> 'found' AND {retryable_sql('error_type')}) AS retry_candidates FROM results"""
 )
 def run_summary(spark, d):
     return _enriched(spark, d).summary.drop("success_percentage")
@@ -596,29 +606,25 @@ def load_lookup(spark, d):
 
 @query(
     with_(PAGES)
-    + f"""SELECT folder, count(*) AS n, count(*) FILTER (flag) AS registered FROM (
-      SELECT coalesce({doi_sql('doi')} IN (SELECT lower(doi) FROM registry), false) AS flag,
-        CASE WHEN row_number() OVER (ORDER BY md5('42:' || key), key) <= 100 THEN 'training_set' ELSE 'validation_set' END AS folder
-      FROM gold) GROUP BY folder"""
+    + f"""SELECT key, CASE WHEN coalesce({doi_sql('doi')} IN (SELECT lower(doi) FROM registry), false) THEN 'True' ELSE 'False' END AS flag,
+      CASE WHEN row_number() OVER (ORDER BY md5('42:' || key), key) <= 100 THEN 'training_set' ELSE 'validation_set' END AS folder
+    FROM gold"""
 )
 def write_split(spark, d):
     path = scratch(spark, "split")
     writers.write_split(jobs.prepare_gold(views.gold(spark, d), views.registry(spark, d), n=100), path)
 
     def read(folder):
-        return spark.read.csv(f"{path}/{folder}", header=True).select(F.lit(folder).alias("folder"), "ID_on_Crossref")
+        rows = spark.read.csv(f"{path}/{folder}", header=True, quote='"', escape='"', multiLine=True)
+        return rows.select("key", F.col("ID_on_Crossref").alias("flag"), F.lit(folder).alias("folder"))
 
-    both = read("training_set").unionByName(read("validation_set"))
-    return both.groupBy("folder").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("ID_on_Crossref") == "True").alias("registered")
-    )
+    return read("training_set").unionByName(read("validation_set"))
 
 
 @query(
     with_(PAGES)
-    + """SELECT CASE WHEN title = '' OR a_doi IS NULL THEN 'rejected' ELSE 'validated' END AS folder, count(*) AS n
-    FROM (SELECT p.title, a.doi AS a_doi FROM publications p LEFT JOIN answers a ON p.title = a.title AND p.year IS NOT DISTINCT FROM a.year)
-    GROUP BY 1"""
+    + """SELECT CASE WHEN title = '' OR a_doi IS NULL THEN 'rejected' ELSE 'validated' END AS folder, key
+    FROM (SELECT p.key, p.title, a.doi AS a_doi FROM publications p LEFT JOIN answers a ON p.title = a.title AND p.year IS NOT DISTINCT FROM a.year)"""
 )
 def write_outcomes(spark, d):
     path = scratch(spark, "outcomes")
@@ -626,10 +632,10 @@ def write_outcomes(spark, d):
     rows = bulk.bulk_outcomes(cached.withColumn("is_valid_match", F.col("registry_doi").isNotNull()), F.lit(0.0))
     writers.write_outcomes(rows, path)
     read = [
-        spark.read.csv(f"{path}/{s}", header=True, schema="key string").select(F.lit(s).alias("folder"))
+        spark.read.csv(f"{path}/{s}", header=True, quote='"', escape='"', multiLine=True).select(F.lit(s).alias("folder"), "key")
         for s in ("validated", "rejected")
     ]
-    return read[0].unionByName(read[1]).groupBy("folder").agg(F.count(F.lit(1)).alias("n"))
+    return read[0].unionByName(read[1])
 
 
 @query(
@@ -662,20 +668,36 @@ def write_wrong_matches(spark, d):
 
 @query(
     with_(PAPERS, METADATA, ENTRIES, LOOKUPS, _ENRICHED)
-    + """SELECT 'found' AS output, count(*) FILTER (status = 'found') AS n FROM results
-    UNION ALL SELECT 'not_found', count(*) FILTER (status <> 'found') FROM results
-    UNION ALL SELECT 'converted', count(*) FROM results r JOIN metadata m ON r.doi = m.doi WHERE status = 'found'"""
+    + f"""SELECT 'found' AS output, key, doi FROM results WHERE status = 'found'
+    UNION ALL SELECT 'not_found', key, doi FROM results WHERE status <> 'found'
+    UNION ALL SELECT 'retry', key, doi FROM results WHERE status <> 'found' AND {retryable_sql('error_type')}
+    UNION ALL SELECT 'converted', key, r.doi FROM results r JOIN metadata m ON r.doi = m.doi WHERE status = 'found'"""
 )
 def write_run_outputs(spark, d):
     path = scratch(spark, "run")
     run = _enriched(spark, d)
     results = materialize(run.results, "results")
     writers.write_run_outputs(results, run.converted, enrich.run_summary(results), path)
-    counts = [
-        spark.read.schema("key string").json(f"{path}/{o}").agg(F.count(F.lit(1)).alias("n")).select(F.lit(o).alias("output"), "n")
-        for o in ("found", "not_found", "converted")
-    ]
-    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+    first, *others = (
+        spark.read.schema("key string, doi string").json(f"{path}/{o}").select(F.lit(o).alias("output"), "key", "doi")
+        for o in ("found", "not_found", "retry", "converted")
+    )
+    return functools.reduce(DataFrame.unionByName, others, first)
+
+
+@query(
+    with_(PAPERS, METADATA, ENTRIES, LOOKUPS, _ENRICHED)
+    + f"""SELECT r.key, r.doi,
+      CASE WHEN m.doi IS NOT NULL THEN 'found' ELSE 'not found' END AS status
+    FROM results r LEFT JOIN metadata m ON r.doi = m.doi WHERE r.status <> 'found' AND {retryable_sql('r.error_type')}"""
+)
+def enrich_retries(spark, d):
+    """The retry set of one run, asked again in the next, when the metadata has recovered."""
+    first = _enriched(spark, d)
+    retries = first.results.where("retryable").select("key", "doi")
+    known = lookup.merge_lookups(lookup.latest_lookup(_plain_lookups(spark, d)), first.fresh)
+    again = jobs.enrich(retries.where("false"), known, views.metadata(spark, d), _now(), retries)
+    return again.results.select("key", "doi", "status")
 
 
 @query(
