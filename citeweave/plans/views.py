@@ -28,7 +28,7 @@ def _saved(view: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
         if key not in _SAVED:
             # A test table is one small file; spread it as a large table would be.
             files = spark.sparkContext.defaultParallelism
-            _SAVED[key] = materialize(view(spark, sf_dir).repartition(files), view.__name__)
+            _SAVED[key] = materialize(view(spark, sf_dir).repartition(files), view.__name__, keep=True)
         return _SAVED[key]
 
     return read

@@ -40,11 +40,33 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+# Intermediate tables written so far, per application.
+_WRITTEN: dict[str, list[str]] = {}
+
+
+def materialize(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write a frame that several later steps read, and hand back the written table.
 
     The table survives lost executors, cuts the lineage and gives the optimizer real sizes.
+    ``clear_intermediates`` deletes it, unless ``keep`` says that it outlives its job.
     """
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    if not keep:
+        _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_intermediates(spark: SparkSession) -> int:
+    """Delete the intermediate tables of this application; how many there were.
+
+    For the owner of a job to call once its results are written: frames that still read the
+    tables can't be used afterwards.
+    """
+    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    conf = spark._jsc.hadoopConfiguration()
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
+    return len(paths)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from citeweave.operators import authors, enrich, evaluate, extract, lookup, sampling
 from citeweave.plans import jobs
+from citeweave.session import clear_intermediates, materialize
 from citeweave.sources import dump, lookup_store, readers
 
 
@@ -106,3 +107,14 @@ def test_rerun_searches_nothing(spark, monkeypatch):
     pick = ("key", "registry_doi", "score", "cr_title")
     assert sorted(map(str, again.select(*pick).collect())) == sorted(map(str, first.select(*pick).collect()))
     assert asked == [0]
+
+
+def test_intermediate_tables_are_deleted(spark):
+    clear_intermediates(spark)
+    kept = materialize(spark.range(3), "kept", keep=True)
+    gone = materialize(spark.range(4), "gone")
+    assert gone.count() == 4
+    assert clear_intermediates(spark) == 1 and clear_intermediates(spark) == 0
+    assert kept.count() == 3
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|FILE_NOT_EXIST|does not exist"):
+        spark.read.parquet(gone.inputFiles()[0]).count()
