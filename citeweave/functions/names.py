@@ -30,12 +30,15 @@ def _given_first(name: Column) -> Column:
     return F.when(comma == 0, name).otherwise(strip_space(F.concat_ws(" ", given, surname)))
 
 
-def parse_author_string(field: Column, whole_word: bool = False) -> Column:
+def parse_author_string(
+    field: Column, whole_word: bool = False, max_length: int = MAX_NAME_LENGTH
+) -> Column:
     """Authors of an enrichment record as ``array<struct<name, org>>``.
 
     Entries that look like affiliations, addresses or running text are left out; an
     entry with an ORCID has four digits in a row and so counts as an address.  With
     ``whole_word`` an affiliation word must stand alone instead of occurring anywhere.
+    Entries longer than ``max_length`` count as running text.
     """
     listed = "|".join(AFFILIATION_WORDS)
     affiliation = rf"(?U)\b(?:{listed})\b" if whole_word else listed
@@ -46,7 +49,7 @@ def parse_author_string(field: Column, whole_word: bool = False) -> Column:
         bare,
         lambda p: ~F.lower(p).rlike(affiliation)
         & ~p.rlike("[0-9]{4,}")
-        & (F.length(p) <= MAX_NAME_LENGTH),
+        & (F.length(p) <= max_length),
     )
     spaced = F.transform(people, lambda p: F.regexp_replace(p, r"(?U)\s+", " "))
     names = F.transform(spaced, _given_first)
@@ -72,8 +75,8 @@ def named_authors(authors: Column) -> Column:
     return F.filter(F.coalesce(authors, F.array()), lambda a: ~is_blank(a["name"]))
 
 
-def normalize_author_name(name: Column) -> Column:
-    """Key ``first_last`` of a person's name."""
+def normalize_author_name(name: Column, max_length: int = MAX_AUTHOR_KEY) -> Column:
+    """Key ``first_last`` of a person's name, of ``max_length`` characters at most."""
     plain = F.lower(strip_space(name))
     plain = F.regexp_replace(plain, r"(?U)\b([a-z])\.\s*", "$1 ")
     plain = F.regexp_replace(plain, r"(?U)[^\p{L}\p{N}_\s\-]", "")
@@ -81,7 +84,7 @@ def normalize_author_name(name: Column) -> Column:
     plain = strip_space(F.regexp_replace(plain, r"(?U)\s+", " "))
     joined = let(plain, _first_and_last)
     key = strip_char(F.regexp_replace(joined, "_+", "_"), "_")
-    return F.regexp_replace(F.substring(key, 1, MAX_AUTHOR_KEY), "_+$", "")
+    return F.regexp_replace(F.substring(key, 1, max_length), "_+$", "")
 
 
 def _first_and_last(plain: Column) -> Column:
