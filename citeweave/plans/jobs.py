@@ -191,8 +191,12 @@ def evaluate_by_search(
 
 
 def bulk_validate(pubs: DataFrame, registry: DataFrame, cutoff: Column, **options) -> DataFrame:
-    """Accept or reject every publication; titles are compared only above the cutoff."""
-    found = search(pubs, registry, "title", **options)
+    """Accept or reject every publication."""
+    return bulk_decide(search(pubs, registry, "title", **options), cutoff)
+
+
+def bulk_decide(found: DataFrame, cutoff: Column) -> DataFrame:
+    """Outcomes of searched publications; titles are compared only above the cutoff."""
     checked = add_match_details(found, "title", "year", only_if=exceeds(F.col("score"), cutoff))
     return bulk_outcomes(checked, cutoff)
 

@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from citeweave.operators.enrich import run_summary
-from citeweave.plans.jobs import bulk_validate, enrich
+from citeweave.plans.jobs import answers_of, bulk_decide, enrich, search
 from citeweave.session import materialize
-from citeweave.sources.lookup_store import load_lookup, upsert_lookup
+from citeweave.sources.lookup_store import ANSWER_SCHEMA, load_lookup, upsert_lookup
 from citeweave.sources.readers import PUBLICATION_SCHEMA, key_doi_rows
 from citeweave.sources.writers import write_outcomes, write_run_outputs
 
@@ -25,13 +25,25 @@ def publication_stream(spark: SparkSession, path: str) -> DataFrame:
 
 
 def validate_stream(
-    pubs: DataFrame, registry: DataFrame, cutoff: Column, out: str, checkpoint: str
+    pubs: DataFrame,
+    registry: DataFrame,
+    cutoff: Column,
+    out: str,
+    checkpoint: str,
+    answer_path: str | None = None,
 ) -> DataStreamWriter:
-    """Validate every arriving publication; one output folder per batch."""
+    """Validate every arriving publication; one output folder per batch.
+
+    With an ``answer_path`` searches made in earlier batches are not made again.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        outcomes = materialize(bulk_validate(batch, registry, cutoff), "outcomes")
-        write_outcomes(outcomes, f"{out}/batch={batch_id}")
+        spark = batch.sparkSession
+        known = load_lookup(spark, answer_path, ANSWER_SCHEMA) if answer_path else None
+        found = materialize(search(batch, registry, "title", answers=known), "searched")
+        write_outcomes(bulk_decide(found, cutoff), f"{out}/batch={batch_id}")
+        if answer_path:
+            upsert_lookup(spark, answer_path, answers_of(found, "title"), ANSWER_SCHEMA)
 
     return pubs.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
 

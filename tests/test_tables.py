@@ -255,11 +255,14 @@ def test_streams(spark, tmp_path):
     reg = spark.createDataFrame([("10.1/A", "alpha beta gamma", 2008, [], "v"), ("10.1/B", "other", 2001, [], "v")],
                                 "doi string, title string, year int, authors array<string>, venue string")
     stream = incremental.publication_stream(spark, str(tmp_path / "in"))
-    writer = incremental.validate_stream(stream, reg, F.lit(0.5), str(tmp_path / "out"), str(tmp_path / "cp"))
+    kept = str(tmp_path / "answers")
+    writer = incremental.validate_stream(stream, reg, F.lit(0.5), str(tmp_path / "out"), str(tmp_path / "cp"), kept)
     writer.trigger(availableNow=True).start().awaitTermination(120)
     rows = spark.read.csv(f"{tmp_path}/out/batch=0/validated", header=True).collect()
     assert [(r.key, r.doi) for r in rows] == [("k1", "10.1/a")]
     assert spark.read.csv(f"{tmp_path}/out/batch=0/rejected", header=True).count() == 1
+    answers = lookup_store.load_lookup(spark, kept, lookup_store.ANSWER_SCHEMA).collect()
+    assert {(r.title, r.year, r.doi) for r in answers} == {("alpha beta gamma", "2008", "10.1/A"), ("zzz", "2008", None)}
 
     (tmp_path / "pairs").mkdir()
     (tmp_path / "pairs" / "1.csv").write_text("k1,10.1/a\nk2,10.1/none\n")
