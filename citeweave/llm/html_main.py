@@ -24,9 +24,9 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from citeweave.llm.html_blocks import Block, blocks
+from citeweave.llm.samples import hashed_sample
 from citeweave.llm.words import slices, word_hashes
 
 PATH, WORDS, PLAIN = 128, 32, 5
@@ -264,7 +264,7 @@ def train(pages: list[str | None], seed: int = 0) -> Labeller:
 
 def sample_pages(pages: DataFrame, n: int = SAMPLE_PAGES) -> list[str]:
     """The `n` pages with the smallest hashes of their ids."""
-    chosen = pages.where("html IS NOT NULL").select("html").orderBy(F.xxhash64("page_id"), "page_id").limit(n)
+    chosen = hashed_sample(pages.where("html IS NOT NULL").select("page_id", "html"), "page_id", n)
     return [row["html"] for row in chosen.collect()]
 
 
