@@ -25,8 +25,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from citeweave.llm.samples import hashed_sample
 from citeweave.llm.words import as_alnum, binary, scatter, slices, word_hashes
 
 FEATURES = 1 << 16
@@ -240,7 +240,7 @@ def confirmed_families(paragraph: bytes) -> list[str]:
 
 def sample_paragraphs(docs: DataFrame, n_docs: int = SAMPLE_DOCS, n_paragraphs: int = SAMPLE_PARAGRAPHS) -> list[str]:
     """Training paragraphs: of the `n_docs` documents with the smallest hashes, `n_paragraphs` spread over them."""
-    chosen = docs.where("text IS NOT NULL").select("text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(n_docs)
+    chosen = hashed_sample(docs.where("text IS NOT NULL").select("doc_id", "text"), "doc_id", n_docs)
     found = [p for row in chosen.collect() for p in row["text"].split("\n")]
     return found if len(found) <= n_paragraphs else [found[i * len(found) // n_paragraphs] for i in range(n_paragraphs)]
 
