@@ -8,6 +8,12 @@ the least calibrated probability at which held-out predictions are precise; belo
 paragraph is `unknown`.  A predicted family is confirmed when the paragraph holds most of the
 word triples of one of the family's templates.
 
+Notices also run over several lines, as hard-wrapped headers do.  Wherever neighbouring lines
+together hold most of a template's triples, within twice its number of words, the words from
+the first such triple to the last are classified and confirmed like a paragraph.  Of a
+confirmed passage the unconfirmed lines count no more; a confirmed line of its family stands
+for it.
+
 Scoring first sums, per n-gram, the most that any class gains over `none`; a paragraph in which
 that can't outweigh the constants is `none` by proof, so only few are scored in full.
 
@@ -18,8 +24,10 @@ left out.
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -238,10 +246,119 @@ def confirmed_families(paragraph: bytes) -> list[str]:
     return [k for k, sets in _TEMPLATE_TRIPLES.items() if any(len(own & t) >= CONFIRM * len(t) for t in sets)]
 
 
+#: All templates: their triples and the words that a passage which holds one may have.
+_LISTED = [(_triples(t.encode()), 2 * len(as_alnum(t.encode()).split())) for v in TEMPLATES.values() for t in v]
+_HOLDERS = {x: [k for k, (own, _) in enumerate(_LISTED) if x in own] for x in set().union(*(own for own, _ in _LISTED))}
+_WANTED = np.sort(np.array(list(_HOLDERS), np.uint64))
+_LOW_BITS = np.zeros(1 << 16, bool)
+_LOW_BITS[_WANTED & np.uint64(0xFFFF)] = True
+
+
+class Passage(NamedTuple):
+    """Words that run over several lines: first and last line, first word and the one after the last."""
+
+    first: int
+    last: int
+    start: int
+    stop: int
+    words: bytes
+
+
+def wrapped_passages(lines: list[bytes | None], counts: np.ndarray) -> list[list[Passage]]:
+    """Passages over several lines that hold most of a template, by document.
+
+    `lines` are those of all documents, `counts` the lines of each.  Lines count from 0 in their
+    document, words in all.
+    """
+    words, n_words = word_hashes([as_alnum(x) for x in lines])
+    out: list[list[Passage]] = [[] for _ in counts]
+    grams = n_grams(words, 3)
+    at = np.flatnonzero(_LOW_BITS[grams & np.uint64(0xFFFF)])
+    at = at[_WANTED[np.minimum(np.searchsorted(_WANTED, grams[at]), len(_WANTED) - 1)] == grams[at]]
+    line_of = np.repeat(np.arange(len(lines)), n_words)
+    doc_of = np.repeat(np.arange(len(counts)), counts)
+    first_word, first_line = np.cumsum(n_words) - n_words, np.cumsum(counts) - counts
+    doc = doc_of[line_of[at]]
+    inside = doc == doc_of[line_of[at + 2]]
+    at, doc = at[inside], doc[inside]
+    edges = np.flatnonzero(np.diff(doc, prepend=-1, append=-1))
+    for start, stop in zip(edges[:-1], edges[1:], strict=True):
+        own = int(doc[start])
+        for a, b in sorted(_spans(at[start:stop].tolist(), grams[at[start:stop]].tolist())):
+            low, high = int(line_of[a]), int(line_of[b - 1])
+            if low < high:
+                text = b" ".join(as_alnum(x) for x in lines[low : high + 1]).split()
+                base, top = int(first_word[low]), int(first_line[own])
+                out[own].append(Passage(low - top, high - top, a, b, b" ".join(text[a - base : b - base])))
+    return out
+
+
+def _spans(at: list[int], grams: list[int]) -> set[tuple[int, int]]:
+    """Spans of words that hold most of a template, of those that overlap the fullest and then the shortest."""
+    by_template: dict[int, list[tuple[int, int]]] = {}
+    for place, gram in zip(at, grams, strict=True):
+        for k in _HOLDERS[gram]:
+            by_template.setdefault(k, []).append((place, gram))
+    chosen = set()
+    for k, hits in by_template.items():
+        wanted, room = _LISTED[k]
+        latest: dict[int, int] = {}
+        spans = []
+        for place, gram in hits:
+            latest[gram] = place
+            held = [p for p in latest.values() if p + room >= place + 3]
+            if len(held) >= CONFIRM * len(wanted):
+                spans.append((-len(held), place + 3 - min(held), min(held)))
+        taken: list[tuple[int, int]] = []
+        for _, size, first in sorted(spans):
+            after = bisect.bisect(taken, (first,))
+            if (not after or taken[after - 1][1] <= first) and (after == len(taken) or taken[after][0] >= first + size):
+                taken.insert(after, (first, first + size))
+        chosen.update(taken)
+    return chosen
+
+
+def _with_passages(found: list[dict], passages: list[tuple[Passage, dict]]) -> list[dict]:
+    """Findings of a document's lines and of its passages over several lines, each notice once."""
+    known: dict[str, list[int]] = {}
+    for f in found:
+        if f["confirmed"]:
+            known.setdefault(f["family"], []).append(f["paragraph"])
+    covered: set[int] = set()
+    added: list[dict] = []
+    reach: dict[str, int] = {}
+    furthest = 0
+    passages = sorted(passages, key=lambda x: (x[0].start, -x[0].stop))
+    for p, f in passages:
+        if not f["confirmed"]:
+            continue
+        covered.update(range(p.first, p.last + 1))
+        lines = known.get(f["family"], [])
+        at = bisect.bisect_left(lines, p.first)
+        # Within another notice, or the same notice by another template or by a line of it.
+        if p.stop > furthest and p.start >= reach.get(f["family"], 0) and not (at < len(lines) and lines[at] <= p.last):
+            added.append(f)
+            reach[f["family"]] = p.stop
+        furthest = max(furthest, p.stop)
+    kept = [f for f in found if f["confirmed"] or f["paragraph"] not in covered]
+    covered.update(f["paragraph"] for f in kept)
+    for p, f in passages:
+        if not f["confirmed"] and covered.isdisjoint(range(p.first, p.last + 1)):
+            covered.update(range(p.first, p.last + 1))
+            added.append(f)
+    return sorted(kept + added, key=lambda f: f["paragraph"])
+
+
 def sample_paragraphs(docs: DataFrame, n_docs: int = SAMPLE_DOCS, n_paragraphs: int = SAMPLE_PARAGRAPHS) -> list[str]:
     """Training paragraphs: of the `n_docs` documents with the smallest hashes, `n_paragraphs` spread over them."""
     chosen = hashed_sample(docs.where("text IS NOT NULL").select("doc_id", "text"), "doc_id", n_docs)
-    found = [p for row in chosen.collect() for p in row["text"].split("\n")]
+    found: list[str] = []
+    for row in chosen.collect():
+        lines = row["text"].split("\n")
+        # Lines of a wrapped notice are no examples of other text.
+        passages = wrapped_passages([x.encode() for x in lines], np.array([len(lines)]))[0]
+        notice = {k for p in passages if confirmed_families(p.words) for k in range(p.first, p.last + 1)}
+        found += [x for k, x in enumerate(lines) if k not in notice]
     return found if len(found) <= n_paragraphs else [found[i * len(found) // n_paragraphs] for i in range(n_paragraphs)]
 
 
@@ -254,32 +371,37 @@ _SCANNED = (
 def scan(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, n_paragraphs, n_confirmed, n_unknown, families, found), a row per row of `docs`.
 
-    `found` names each paragraph with licence language; `families` joins the confirmed ones.
+    `found` names each paragraph with licence language, and by its first line each passage over
+    several; `families` joins the confirmed ones.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
     entry = pa.struct(
         [("paragraph", pa.int32()), ("family", pa.string()), ("probability", pa.float64()), ("confirmed", pa.bool_())]
     )
 
+    def finding(known: Model, paragraph: int, text: bytes, kind: int, sure: float) -> dict:
+        family = CLASSES[kind] if sure >= known.least else UNKNOWN
+        return {"paragraph": paragraph, "family": family, "probability": float(sure), "confirmed": family in confirmed_families(text)}
+
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = sent.value
         for batch in slices(batches, "text", 2 << 20):
             lists = pc.split_pattern(pc.fill_null(batch.column("text"), ""), "\n")
             lines, counts = binary(lists.flatten()), pc.list_value_length(lists).to_numpy(zero_copy_only=False)
             kind, sure = known.classify(lines)
+            wrapped = [(k, p) for k, own in enumerate(wrapped_passages(lines, counts)) for p in own]
+            wrapped_kind, wrapped_sure = known.classify([p.words for _, p in wrapped])
+            passages: dict[int, list[tuple[Passage, dict]]] = {}
+            for i in np.flatnonzero(wrapped_kind).tolist():
+                k, p = wrapped[i]
+                passages.setdefault(k, []).append((p, finding(known, p.first, p.words, wrapped_kind[i], wrapped_sure[i])))
             found: list[list[dict]] = [[] for _ in range(batch.num_rows)]
             owner = np.repeat(np.arange(batch.num_rows), counts)
             first = np.cumsum(counts) - counts
             for i in np.flatnonzero(kind).tolist():
-                family = CLASSES[kind[i]] if sure[i] >= known.least else UNKNOWN
-                found[owner[i]].append(
-                    {
-                        "paragraph": i - int(first[owner[i]]),
-                        "family": family,
-                        "probability": float(sure[i]),
-                        "confirmed": family in confirmed_families(lines[i]),
-                    }
-                )
+                found[owner[i]].append(finding(known, i - int(first[owner[i]]), lines[i], kind[i], sure[i]))
+            for k, own in passages.items():
+                found[k] = _with_passages(found[k], own)
             names = [sorted({f["family"] for f in own if f["confirmed"]}) for own in found]
             yield pa.RecordBatch.from_arrays(
                 [
