@@ -35,11 +35,13 @@ GROUP = 1 << 16
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
+def token_pieces(
+    docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPACITY, with_ids: bool = False, special_ids: bool = False
+) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids]) of all texts; `ids` are 32-bit little-endian."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = Encoder(tokenizer, special_ids=special_ids)
         end = np.array([end_id], "<u4").tobytes()
         for batch in slices(batches, "text"):
             texts = [t or "" for t in batch.column("text").to_pylist()]

@@ -50,7 +50,7 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), tokenizer_path()))
+    return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), tokenizer_path(), special_ids=True))
 
 
 def op7_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,7 +59,7 @@ def op7_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    manifest = token_files.write_token_files(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=2)
+    manifest = token_files.write_token_files(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=2, special_ids=True)
     return token_files.read_token_files(manifest, with_ids=False)
 
 

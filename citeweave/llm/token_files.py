@@ -136,7 +136,9 @@ def read_index(folder: str, name: str) -> pa.Table:
         return pa.ipc.open_file(source).read_all()
 
 
-def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, length: int = LENGTH, folder: str | None = None) -> DataFrame:
+def write_token_files(
+    docs: DataFrame, tokenizer: str, end_id: int, length: int = LENGTH, folder: str | None = None, special_ids: bool = False
+) -> DataFrame:
     """Write the ids of all texts in ascending doc_id order; the manifest, with `base` per file.
 
     `base` counts the ids of all files before.
@@ -144,7 +146,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, length: int
     place = folder or new_folder(docs.sparkSession, "token-files")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = Encoder(tokenizer, special_ids=special_ids)
         end = np.array([end_id], encoder.dtype).tobytes()
         writer = None
         for batch in slices(batches, "text"):

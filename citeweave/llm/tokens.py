@@ -4,6 +4,10 @@ Byte-level pair encoding first cuts a text before each blank that stands alone,
 are those of its blank-led parts one after the other.  Parts seen before come from a bounded
 memory; new ones are encoded by the tokenizers library.  Texts with other blanks
 (several in a row, or at an end) are encoded whole.
+
+By default the strings of special tokens are ordinary text.  With `special_ids` the tokenizer
+stays as loaded and gives the ids of special tokens where a text holds their strings, as its
+plain `encode(text, add_special_tokens=False)` does.
 """
 
 from __future__ import annotations
@@ -20,13 +24,16 @@ _SYMBOLS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _
 class Encoder:
     """Ids of whole texts, as little-endian unsigned 16-bit ids where the vocabulary allows, else 32-bit."""
 
-    def __init__(self, path: str, limit: int = 1_500_000) -> None:
+    def __init__(self, path: str, limit: int = 1_500_000, special_ids: bool = False) -> None:
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        # The strings of special tokens are ordinary text in a text.
-        self.tokenizer.encode_special_tokens = True
+        if not special_ids:
+            self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        #: Strings that the library cuts out of a text before anything else.
+        self._added = [t.content for t in added if t.content and (special_ids or not t.special)]
         size = self.tokenizer.get_vocab_size()
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self._pairs = self.tokenizer.model.tokenize
@@ -52,7 +59,12 @@ class Encoder:
         return out
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        parts = [t.replace(" ", "\x1f ").replace("\n", "\x1f\n").split("\x1f") if "\x1f" not in t else [" "] for t in texts]
+        added = self._added
+        # A text with a part that can't stand alone is encoded whole.
+        parts = [
+            [" "] if "\x1f" in t or any(a in t for a in added) else t.replace(" ", "\x1f ").replace("\n", "\x1f\n").split("\x1f")
+            for t in texts
+        ]
         known = self._known
         new = set().union(*parts).difference(known)
         if len(known) + len(new) > self.limit:

@@ -34,7 +34,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(packing.token_pieces(docs, tokenizer_path()))
+    return packing.pack(packing.token_pieces(docs, tokenizer_path(), special_ids=True))
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import textwrap
+import zlib
 
+import numpy as np
 import pytest
 
-from citeweave.llm import licences
+import corpus_pipeline
+from citeweave.llm import licences, queries
+from citeweave.llm.tokens import Encoder
 
 #: Headers in their usual wording, by family.
 HEADERS = {
@@ -53,3 +57,44 @@ def test_wrapped_headers_of_each_family(spark, model):
 def test_wrapped_headers_are_no_training_text(spark):
     df = spark.createDataFrame([(1, f"plain words\n{_header('gpl', 72, '# ')}\nmore words")], "doc_id long, text string")
     assert licences.sample_paragraphs(df) == ["plain words", "# option) any later version.", "more words"]
+
+
+@pytest.fixture(scope="module")
+def plain():
+    """The tokenizer as loaded."""
+    from tokenizers import Tokenizer
+
+    made = Tokenizer.from_file(queries.tokenizer_path())
+    return lambda text: made.encode(text or "", add_special_tokens=False).ids
+
+
+def test_special_ids_equal_the_plain_library(plain):
+    rng = np.random.default_rng(6)
+    letters = [*" \n\t.,'a bé<|>\x1f", "<|endoftext|>", "<|endoftext", " word", "Word."]
+    texts = ["a <|endoftext|> b", *("".join(rng.choice(letters, rng.integers(0, 12))) for _ in range(2000))]
+    encoder = Encoder(queries.tokenizer_path(), limit=500, special_ids=True)
+    got = [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode(texts)]
+    assert got[0] == [64, 220, 50256, 275] and got == [plain(t) for t in texts]
+
+
+def test_queries_keep_the_tokenizer_as_loaded(spark, docs, plain, tmp_path):
+    rows = [*docs, (2001, "a <|endoftext|> b"), (2002, "<|endoftext|><|endoftext|>"), (2003, "after it")]
+    folder = f"file://{tmp_path}"
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(f"{folder}/documents.parquet")
+    wanted = {i: plain(t) for i, t in rows}
+    table = queries.table(spark, folder, "documents")
+    for packed in (queries.op6_best_fit_packing(spark, folder), corpus_pipeline.STAGES[-1][1](spark, table, folder)):
+        found = packed.toPandas()
+        for doc_id, ids in wanted.items():
+            whole = np.array([*ids, 0], "<u4")
+            own = found[found["doc_id"] == doc_id]
+            assert own["length"].sum() == len(whole)
+            for start, length, crc in zip(own["start"], own["length"], own["ids_crc32"], strict=True):
+                assert zlib.crc32(whole[start : start + length].tobytes()) == crc
+    at = 0
+    written = {r.doc_id: r for r in queries.op8_token_output(spark, folder).collect()}
+    for doc_id, ids in sorted(wanted.items()):
+        whole = np.array([*ids, 2], "<u4")
+        row = written[doc_id]
+        assert (row.start, row.n_tokens, row.ids_crc32) == (at, len(whole), zlib.crc32(whole.tobytes()))
+        at += len(whole)
