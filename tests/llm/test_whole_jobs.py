@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from citeweave.llm import licences, queries
+from citeweave.llm import chat, licences, queries
 from citeweave.llm.tokens import Encoder
 
 #: Headers in their usual wording, by family.
@@ -98,3 +98,39 @@ def test_queries_keep_the_tokenizer_as_loaded(spark, docs, plain, tmp_path):
         row = written[doc_id]
         assert (row.start, row.n_tokens, row.ids_crc32) == (at, len(whole), zlib.crc32(whole.tobytes()))
         at += len(whole)
+
+
+LONG = (
+    "The archive of the northern station holds forty years of readings, and most of them were never typed in. "
+    "We should ask whether the paper sheets can be scanned before the building closes next spring."
+)
+OTHER = "Nobody has looked at the second cellar since the flood of last autumn, so bring rubber boots and two lamps."
+
+
+def _quoted(text, width, sign="> "):
+    return "\n".join(sign + x for x in textwrap.wrap(text, width))
+
+
+def test_quotes_that_are_no_whole_lines(spark):
+    wrapped = "\n".join(textwrap.wrap(LONG, 40))
+    rows = [
+        (1, 0, LONG), (1, 1, OTHER), (1, 2, _quoted(LONG, 72) + "\nI will ask."), (1, 3, "> whether the paper sheets can be scanned\nYes."),
+        (1, 4, _quoted(LONG.upper(), 30, ">> ") + "\n" + _quoted(OTHER, 50) + "\nBoth."),
+        (1, 5, "> " + LONG + " " + OTHER[:30] + "\nMost of it."), (1, 6, "> I will\n> ask.\nThanks."),
+        (1, 7, "> some sheets of a paper that nobody in this thread wrote, can be scanned before the\nUnknown"),
+        (2, 0, wrapped), (2, 1, OTHER), (2, 2, "> " + LONG + "\nOne line."), (2, 3, _quoted(LONG, 60, "> > ") + "\nDeeper"),
+        (3, 0, OTHER), (3, 1, _quoted(LONG, 72) + "\nOf another conversation"), (3, 2, LONG),
+    ]
+    df = spark.createDataFrame([(c, t, "user", x) for c, t, x in rows], "conv_id long, turn long, role string, text string")
+    got = {(r.conv_id, r.turn): (r.reply_to, r.thread) for r in chat.reply_ordered(df.repartition(3)).collect()}
+    assert got == {
+        (1, 0): (None, 0), (1, 1): (None, 1), (1, 2): (0, 0), (1, 3): (0, 0), (1, 4): (1, 1), (1, 5): (0, 0), (1, 6): (2, 0),
+        (1, 7): (None, 7), (2, 0): (None, 0), (2, 1): (None, 1), (2, 2): (0, 0), (2, 3): (0, 0), (3, 0): (None, 0),
+        (3, 1): (None, 1), (3, 2): (None, 2),
+    }
+
+
+def test_pieces_of_empty_tables(spark):
+    df = spark.createDataFrame([(1, 0, None), (1, 1, ""), (1, 2, ">\n> ")], "conv_id int, turn int, text string")
+    assert chat.pieces(df, False).count() == 0 and chat.pieces(df, True).count() == 0
+    assert chat.pieces(df.where("false"), True).count() == 0
