@@ -134,3 +134,13 @@ def test_pieces_of_empty_tables(spark):
     df = spark.createDataFrame([(1, 0, None), (1, 1, ""), (1, 2, ">\n> ")], "conv_id int, turn int, text string")
     assert chat.pieces(df, False).count() == 0 and chat.pieces(df, True).count() == 0
     assert chat.pieces(df.where("false"), True).count() == 0
+
+
+def test_mail_view_of_all_conversations(spark):
+    """The given messages hold no quotes: here each quotes the one before, wrapped at 60 columns."""
+    rows = {(r.conv_id, r.turn): r.text or "" for r in spark.read.parquet("/root/testdata/sf0.001/conversations.parquet").collect()}
+    want = {k: k[1] - 1 for k in rows if len(rows.get((k[0], k[1] - 1), "").split()) > 8}
+    mails = [(c, t, "user", (_quoted(rows[c, t - 1], 60) + "\n" if (c, t) in want else "") + x) for (c, t), x in rows.items()]
+    df = spark.createDataFrame(mails, "conv_id long, turn long, role string, text string")
+    got = {(r.conv_id, r.turn): r.reply_to for r in chat.reply_ordered(df).collect() if r.reply_to is not None}
+    assert len(want) > 20 and got == want
