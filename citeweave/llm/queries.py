@@ -2,10 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeweave.llm import chat, decontaminate, html_main, jaccard, licences, lines, packing, quality, token_files, warc
+from citeweave.llm import (
+    chat,
+    decontaminate,
+    html_main,
+    jaccard,
+    licences,
+    lines,
+    packing,
+    periodic_runs,
+    quality,
+    token_files,
+    warc,
+)
 from citeweave.session import materialize
 
 
@@ -85,6 +97,36 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def planted_text(doc_id: Column, text: Column) -> Column:
+    """The text; of a tenth of the ids, its words from some place on repeat a period."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    words = F.filter(F.split(text, "[ \\t-\\r]+"), lambda w: w != "")
+    n = F.size(words)
+    a = (g % n).cast("int")
+    period = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    copies = F.ceil((n - a) / period).cast("int")
+    repeated = F.slice(F.flatten(F.array_repeat(F.slice(words, a + 1, period), copies)), F.lit(1), n - a)
+    return F.when((h % 10 == 0) & (n > 0), F.concat_ws(" ", F.slice(words, F.lit(1), a), repeated)).otherwise(text)
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = periodic_runs.periodic_runs(docs.select("doc_id", planted_text(F.col("doc_id"), F.col("text")).alias("text")))
+    best = periodic_runs.longest_run(F.col("runs"))
+    listed = F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"]))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(listed, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -98,6 +140,7 @@ QUERIES = {
         op8_token_output,
         op9_benchmark_decontamination,
         op10_quality_rules,
+        op11_periodic_runs,
     )
 }
 SQL: dict[str, str] = {}
@@ -219,3 +262,44 @@ f AS (
     + CASE WHEN word_chars > 14 * n_words THEN 64 ELSE 0 END + CASE WHEN 10 * n_dup_lines > 6 * n_lines THEN 128 ELSE 0 END AS bits
   FROM m)
 SELECT * EXCLUDE (bits), bits::BIGINT AS failures, bits & 3 <> 0 AS base_failed, bits = 0 AS kept FROM f"""
+
+#: CRC-32 of a decimal number's digits: one step per byte, eight per bit.
+_CRC32 = """xor(4294967295::BIGINT, list_reduce(
+    list_prepend(4294967295::BIGINT, flatten(list_transform(string_split({}::VARCHAR, ''),
+      lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384::BIGINT) ELSE a // 2 END))"""
+
+SQL["op11_periodic_runs"] = rf"""
+WITH d AS (
+  SELECT doc_id, {_CRC32.format("doc_id")} AS h,
+    list_filter(string_split_regex(coalesce(text, ''), '[ \t-\r]+'), lambda w: w <> '') AS w FROM documents),
+planned AS (
+  SELECT *, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a FROM d),
+e AS (
+  SELECT doc_id, len(w) AS n, CASE WHEN a IS NULL THEN w ELSE list_transform(range(len(w)), lambda i:
+    w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (len(w) - a) // (3 + (h // 10) % 8)) END]) END AS w FROM planned),
+grid AS (SELECT *, unnest(range(1, n // 4 + 1)) AS p FROM e),
+cells AS (SELECT *, unnest(range(0, n - p, 3 * p)) AS j FROM grid),
+-- A run holds five places in a row, this one among them, that equal the places p further on.
+pairs AS (
+  SELECT DISTINCT doc_id, p FROM cells
+  WHERE w[j + 1] = w[j + p + 1] AND len(list_filter(range(0, 5), lambda o:
+    j - o >= 0 AND j - o + 4 + p < n AND w[j - o + 1 : j - o + 5] = w[j - o + p + 1 : j - o + p + 5])) > 0),
+places AS (
+  SELECT doc_id, p, i FROM (SELECT e.doc_id, w, p, unnest(range(0, n - p)) AS i FROM e JOIN pairs ON pairs.doc_id = e.doc_id)
+  WHERE w[i + 1] = w[i + p + 1]),
+stretches AS (
+  SELECT doc_id, p, min(i) AS start, count(*) + p AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, p ORDER BY i) AS island FROM places)
+  GROUP BY doc_id, p, island HAVING count(*) + p >= greatest(6, 4 * p)),
+runs AS (SELECT doc_id, start, length, min(p) AS period FROM stretches GROUP BY ALL),
+best AS (SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length DESC, start, period) = 1),
+listed AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS x
+  FROM runs GROUP BY doc_id),
+dropped AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+word AS (SELECT doc_id, unnest(range(n)) AS i, unnest(w) AS word FROM e),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS x FROM word ANTI JOIN dropped USING (doc_id, i) GROUP BY doc_id)
+SELECT e.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+  sha256(coalesce(listed.x, '')) AS runs_sha256, sha256(coalesce(kept.x, '')) AS collapsed_sha256
+FROM e LEFT JOIN best USING (doc_id) LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)"""
