@@ -16,6 +16,7 @@ from citeweave.llm import (
     periodic_runs,
     quality,
     token_files,
+    vector_codes,
     warc,
 )
 from citeweave.session import materialize
@@ -127,6 +128,13 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = vector_codes.code(table(spark, sf_dir, "embeddings"))
+    return vector_codes.label_errors(coded.codes).select(
+        "vec_id", "code", "error", "label_error", F.lit(coded.codebooks_sha256()).alias("codebooks_sha256")
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -141,6 +149,7 @@ QUERIES = {
         op9_benchmark_decontamination,
         op10_quality_rules,
         op11_periodic_runs,
+        op12_vector_codes,
     )
 }
 SQL: dict[str, str] = {}
@@ -303,3 +312,40 @@ kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS x FROM word ANTI JOI
 SELECT e.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
   sha256(coalesce(listed.x, '')) AS runs_sha256, sha256(coalesce(kept.x, '')) AS collapsed_sha256
 FROM e LEFT JOIN best USING (doc_id) LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+
+def _vector_codes_sql(rounds: int) -> str:
+    """Rounds of assigning and averaging, one after the other."""
+    steps = [
+        """kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v, len(embedding) // 4 AS w FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (SELECT vec_id, p, w, v[p * w + 1 : p * w + w] AS part FROM kept, range(4) positions(p)),
+book0 AS (
+  SELECT p, n - 1 AS e, part AS c
+  FROM (SELECT *, row_number() OVER (PARTITION BY p ORDER BY vec_id) AS n FROM parts) WHERE n <= 256)"""
+    ]
+    for k in range(rounds + 1):
+        steps.append(f"""near{k} AS MATERIALIZED (
+  SELECT vec_id, p, any_value(part) AS part, min({{'d': d, 'e': e}}) AS best
+  FROM (SELECT vec_id, p, part, e, list_sum(list_transform(range(1, w + 1), lambda i: (part[i] - c[i]) * (part[i] - c[i])))::BIGINT AS d
+        FROM parts JOIN book{k} USING (p))
+  GROUP BY vec_id, p)""")
+        if k < rounds:
+            steps.append(f"""mean{k} AS (
+  SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c
+  FROM (SELECT p, best.e AS e, i, sum(x)::BIGINT AS s, count(*) AS n
+        FROM (SELECT p, best, unnest(range(len(part))) AS i, unnest(part) AS x FROM near{k}) GROUP BY ALL)
+  GROUP BY p, e),
+book{k + 1} AS MATERIALIZED (
+  SELECT p, e, coalesce(m.c, b.c) AS c FROM book{k} b LEFT JOIN mean{k} m USING (p, e))""")
+    return f"""
+WITH {", ".join(steps)},
+coded AS (
+  SELECT vec_id, string_agg(printf('%02x', best.e), '' ORDER BY p) AS code, sum(best.d)::BIGINT AS error FROM near{rounds} GROUP BY vec_id),
+book AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS x FROM book{rounds})
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, (SELECT x FROM book) AS codebooks_sha256
+FROM coded JOIN kept USING (vec_id)"""
+
+
+SQL["op12_vector_codes"] = _vector_codes_sql(vector_codes.ROUNDS)
