@@ -18,6 +18,7 @@ from citeweave.llm import (
     token_files,
     vector_codes,
     warc,
+    weighted_prints,
 )
 from citeweave.session import materialize
 
@@ -135,6 +136,19 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_weighted_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = weighted_prints.with_edited(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        "fingerprint",
+        "edited_fingerprint",
+        weighted_prints.likeness("fingerprint", "edited_fingerprint").alias("near_edited"),
+        weighted_prints.likeness("fingerprint", "next_fingerprint").alias("near_next"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -150,6 +164,7 @@ QUERIES = {
         op10_quality_rules,
         op11_periodic_runs,
         op12_vector_codes,
+        op13_weighted_prints,
     )
 }
 SQL: dict[str, str] = {}
