@@ -41,8 +41,10 @@ SAMPLES = 96
 _CELLS = 1 << 17
 #: Bytes of text a range aims at.
 RANGE_BYTES = 1 << 26
+#: Terms whose distances are held at once.
+_BLOCK = 1 << 16
 #: Bytes of text fingerprinted together.
-_SLICE = 1 << 21
+_SLICE = 1 << 22
 _DEALT = "doc_id long, text string, hash long, range int, halo boolean"
 _COMPARED = "doc_id long, text string, edited string, fingerprint string, edited_fingerprint string, next_fingerprint string"
 
@@ -63,8 +65,8 @@ class Draws:
         self.seeds = scatter(np.arange(1, 2 * samples + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).reshape(2, samples)
 
     def of(self, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Draws of all samples (rows) for all terms (columns)."""
-        return self._drawn(terms, self.seeds[0][:, None], self.seeds[1][:, None])
+        """Draws of all samples (columns) for all terms (rows)."""
+        return self._drawn(terms[:, None], *self.seeds)
 
     def cells(self, terms: np.ndarray, samples: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Draws of one sample for each term."""
@@ -108,7 +110,7 @@ def prints(texts: list[bytes | None], draws: Draws) -> np.ndarray:
     starts = stops - sizes
     least = np.full((len(texts), samples), np.inf, np.float32)
     picked = np.zeros((len(texts), samples), np.int64)
-    block = 1 << 15
+    block = _BLOCK
     for low in range(0, len(terms), block):
         table = _distances(terms[low : low + block], weights[low : low + block], draws)
         for text, (start, stop) in enumerate(zip(starts.tolist(), stops.tolist(), strict=True)):
@@ -118,9 +120,9 @@ def prints(texts: list[bytes | None], draws: Draws) -> np.ndarray:
                 own = own[np.searchsorted(own, low) : np.searchsorted(own, low + block)]
             if not len(own):
                 continue
-            rows = table.take(own - low, axis=1, mode="clip")
-            at = rows.argmin(axis=1)
-            found = rows[np.arange(samples), at]
+            rows = table.take(own - low, axis=0, mode="clip")
+            at = rows.argmin(axis=0)
+            found = rows[at, np.arange(samples)]
             if low == 0:
                 least[text], picked[text] = found, own[at]
             else:
@@ -138,14 +140,14 @@ def prints(texts: list[bytes | None], draws: Draws) -> np.ndarray:
 
 
 def _distances(terms: np.ndarray, weights: np.ndarray, draws: Draws) -> np.ndarray:
-    """ln(c / (y exp(r))) by sample and weighted term."""
-    out = np.empty((draws.samples, len(terms)), np.float32)
+    """ln(c / (y exp(r))) by weighted term and sample."""
+    out = np.empty((len(terms), draws.samples), np.float32)
     step = max(1, _CELLS // draws.samples)
     for start in range(0, len(terms), step):
         part = slice(start, start + step)
         r, c, b = draws.of(terms[part])
-        weight = np.log(weights[part].astype(np.float32))
-        out[:, part] = c - r * (np.floor(weight / r + b) - b + 1)
+        weight = np.log(weights[part].astype(np.float32))[:, None]
+        out[part] = c - r * (np.floor(weight / r + b) - b + 1)
     return out
 
 
