@@ -4,25 +4,29 @@ The score of a record is the summed weight of the different words it shares with
 searched title; a word weighs ``ln(1 + (N - df + 0.5) / (df + 0.5))``, held in whole
 millionths so that sums do not depend on the order of addition.
 
-The search is exact and never forms all pairs.  Words are *rare* (in at most ``hot_rows``
-registry entries) or *hot*:
-
-1. Copies collapse first: searches with the same words and year are one search, registry
-   entries with the same words and year are one entry, represented by the smallest DOI.
-2. Rare words are joined by (word, year); every block holds at most ``hot_rows`` entries.
-   The pair with the largest summed rare weight is scored in full and sets the score to
-   beat; the rare sum plus all hot weights of either side bounds the score of any other
-   pair, and only pairs whose bound reaches the score to beat are scored in full.
-3. An entry that shares hot words only can win just where the hot weights of the search
-   reach its best score so far.  Such searches look at their rarest hot words, as few as
-   are needed for the weight of the remaining ones to fall below that score.  Blocks of hot
-   words are salted into pieces of about ``block_rows`` entries, and each piece reports one
-   best entry per search, so no task ever holds a whole block.
+The search is exact and never forms all pairs.  Copies collapse first: searches with the same
+words and year are one search, registry entries with the same words and year one entry with the
+smallest DOI.  A search keeps the words the registry has in the searched years, rarest first;
+words in more than ``hot_rows`` records are *hot* and come last.  What an entry can score is
+bounded by its first shared word and the weights from there on, so it is looked for in steps,
+each with the score to beat of the step before:
+
+1. Entries under the few rarest words; the one with the highest bound is scored and, with the
+   heaviest single word, sets the score to beat.
+2. Entries under every other rare word from which on the weights still reach that score.
+3. Entries with hot words only.  One that shares a single word is no better than the best
+   entry of that word, which is one row per word and year.  All others hold two of the search's hot
+   words, so an index of word pairs is asked, for those pairs whose first word and whose weights from
+   the second on reach the score.
+
+Index rows carry the entry's total weight, which must reach the score too, and a filter of 256
+bits over its words.  The search's words that the filter may hold bound the score before any
+word lists meet; only pairs whose bound reaches the score to beat are scored in full.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from citeweave.functions.titles import title_terms
@@ -31,8 +35,13 @@ from citeweave.session import materialize
 from .lookup import one_per
 
 HOT_ROWS = 200
-BLOCK_ROWS = 20_000
+#: Rarest words of a search that are asked for first.
+LEAD_WORDS = 4
 MICRO = 1_000_000
+#: Longs of the bit filter over an entry's words.
+_LONGS = 4
+_BITS = 64 * _LONGS
+_FILTER = [f"bits{i}" for i in range(_LONGS)]
 
 
 def term_weight(df: Column, total: Column) -> Column:
@@ -41,9 +50,9 @@ def term_weight(df: Column, total: Column) -> Column:
     return F.round(F.log(1.0 + odds) * MICRO).cast("bigint")
 
 
-def _signature(terms: Column) -> Column:
-    """128-bit stand-in for a set of words, to keep shuffle rows narrow."""
-    return F.unhex(F.md5(F.concat_ws(" ", terms)))
+def _signature(terms: Column, year: str) -> Column:
+    """128-bit stand-in for a set of words and a year, to keep shuffle rows narrow."""
+    return F.unhex(F.md5(F.concat_ws(" ", F.coalesce(F.col(year).cast("string"), F.lit("")), terms)))
 
 
 def collapse_registry(registry: DataFrame) -> DataFrame:
@@ -53,178 +62,116 @@ def collapse_registry(registry: DataFrame) -> DataFrame:
         .where(F.size("terms") > 0)
         .groupBy("terms", "year")
         .agg(F.min("doi").alias("doi"), F.count(F.lit(1)).alias("copies"))
-        .select(_signature(F.col("terms")).alias("entry"), "year", "doi", "copies", "terms")
+        .select(_signature(F.col("terms"), "year").alias("entry"), "year", "doi", "copies", "terms")
     )
 
 
 def term_weights(registry: DataFrame, entries: DataFrame, hot_rows: int) -> DataFrame:
-    """(term, weight, entries, hot) for every word of the registry."""
+    """(term, weight, hot) for every word of the registry."""
     total = registry.agg(F.count(F.lit(1)).alias("n")).scalar()
     return (
         entries.select("copies", F.explode("terms").alias("term"))
         .groupBy("term")
-        .agg(F.sum("copies").alias("df"), F.count(F.lit(1)).alias("entries"))
-        .select(
-            "term",
-            term_weight(F.col("df"), total).alias("weight"),
-            "entries",
-            (F.col("entries") > hot_rows).alias("hot"),
-        )
+        .agg(F.sum("copies").alias("df"))
+        .select("term", term_weight(F.col("df"), total).alias("weight"), (F.col("df") > hot_rows).alias("hot"))
     )
 
 
-# A hot word travels as one string, so that two lists intersect natively by hash:
-# ten digits of weight, twelve digits of block size, then the word itself.
-_WEIGHT_DIGITS, _BLOCK_DIGITS = 10, 12
+def _bit(term: Column) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(_BITS))
 
 
-def _pack() -> Column:
-    return F.concat(
-        F.lpad(F.col("weight").cast("string"), _WEIGHT_DIGITS, "0"),
-        F.lpad(F.col("entries").cast("string"), _BLOCK_DIGITS, "0"),
-        F.col("term"),
+def _weighed(entries: DataFrame, weights: DataFrame) -> DataFrame:
+    """Entries with their words (hot, neg, term) rarest first, their total weight and bit filter."""
+    words = entries.select("entry", "year", "doi", F.explode("terms").alias("term")).join(weights, "term")
+    place = _bit(F.col("term"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))
+    bits = [
+        F.bit_or(F.when(F.floor(place / 64) == i, bit).otherwise(F.lit(0).cast("long"))).alias(name)
+        for i, name in enumerate(_FILTER)
+    ]
+    return words.groupBy("entry", "year", "doi").agg(
+        F.sum("weight").alias("total"),
+        *bits,
+        F.sort_array(F.collect_list(F.struct("hot", (-F.col("weight")).alias("neg"), "term"))).alias("words"),
     )
 
 
-def _weight_of(packed: Column) -> Column:
-    return F.substring(packed, 1, _WEIGHT_DIGITS).cast("bigint")
-
+def _search_words(searches: DataFrame, weights: DataFrame, weighed: DataFrame) -> DataFrame:
+    """Words of each search that the searched years have: one row per search and word.
 
-def _entries_of(packed: Column) -> Column:
-    return F.substring(packed, _WEIGHT_DIGITS + 1, _BLOCK_DIGITS).cast("bigint")
+    ``place`` counts them rarest first, hot ones last; ``suffix`` is the weight from a word on.
+    """
+    present = weighed.select("year", F.explode("words.term").alias("term")).distinct()
+    words = (
+        searches.select("search", "lookup_year", F.explode("terms").alias("term"))
+        .withColumn("year", searched_years())
+        .join(present, ["term", "year"])
+        .select("search", "lookup_year", "term")
+        .distinct()
+        .join(weights, "term")
+    )
+    order = Window.partitionBy("search").orderBy("hot", F.col("weight").desc(), "term")
+    return words.withColumn("place", F.row_number().over(order)).withColumn(
+        "suffix",
+        F.sum("weight").over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing)),
+    )
 
 
-def _total_weight(packed_list: Column) -> Column:
-    return F.aggregate(
-        packed_list, F.lit(0).cast("bigint"), lambda acc, x: acc + _weight_of(x)
+def _search_lists(words: DataFrame) -> DataFrame:
+    """One row per search: its words as (weight, bit) in one number each, and as packed words."""
+    return words.groupBy("search").agg(
+        F.max("weight").alias("heaviest"),
+        F.collect_list(F.col("weight") * _BITS + _bit(F.col("term"))).alias("weighted_bits"),
+        F.collect_list(_packed(F.col("weight"), F.col("term"))).alias("search_words"),
     )
 
 
-def _hot_list(weighted: DataFrame, list_name: str, *keys: str) -> DataFrame:
-    """Hot words of each search or entry, heaviest (rarest) first, and their summed weight."""
-    return (
-        weighted.where("hot")
-        .groupBy(*keys)
-        .agg(
-            F.sum("weight").alias(f"{list_name}_sum"),
-            F.sort_array(F.collect_list(_pack()), asc=False).alias(list_name),
-        )
-    )
+# Word lists intersect natively by hash as strings: ten digits of weight, then the word itself.
+_WEIGHT_DIGITS = 10
 
 
-def _best(scored: DataFrame, *keys: str) -> DataFrame:
-    """Highest score per search, smallest DOI on ties; combines before the shuffle."""
-    return scored.groupBy(*keys).agg(
-        F.min(F.struct((-F.col("score")).alias("neg"), "doi")).alias("top")
-    )
+def _packed(weight: Column, term: Column) -> Column:
+    return F.concat(F.lpad(weight.cast("string"), _WEIGHT_DIGITS, "0"), term)
 
 
-def best_candidate(
-    searches: DataFrame,
-    registry: DataFrame,
-    hot_rows: int = HOT_ROWS,
-    block_rows: int = BLOCK_ROWS,
-) -> DataFrame:
-    """Top registry record of each different (title, lookup_year).
+def _bound() -> Column:
+    """Weight of the search's words that the entry's bit filter may hold."""
+    filters = F.array(*_FILTER)
 
-    ``searches`` has (title, lookup_year), ``registry`` (doi, title, year).  Gives (title,
-    lookup_year, doi, score); without a hit the DOI is null and the score 0.
-    """
-    asked = searches.select("title", "lookup_year").distinct()
-    asked = asked.withColumn("terms", title_terms(F.col("title"))).withColumn(
-        "search", _signature(F.col("terms"))
-    )
-    entries = collapse_registry(registry)
-    weights = term_weights(registry, entries, hot_rows)
-
-    search_terms = materialize(
-        asked.select("search", "lookup_year", "terms")
-        .dropDuplicates(["search", "lookup_year"])
-        .select("search", "lookup_year", F.explode("terms").alias("term"))
-        .join(weights, "term"),
-        "search-terms",
-    )
-    entry_terms = materialize(
-        entries.select("entry", "year", "doi", F.explode("terms").alias("term")).join(
-            weights, "term"
-        ),
-        "entry-terms",
-    )
-    search_hot = _hot_list(search_terms, "search_hot", "search", "lookup_year")
-    entry_hot = _hot_list(entry_terms, "entry_hot", "entry", "year")
-    entry_dois = entry_terms.select("entry", "year", "doi").distinct()
-    entry_side = entry_dois.join(entry_hot, ["entry", "year"], "left")
+    def add(total: Column, x: Column) -> Column:
+        place = x % _BITS
+        held = F.call_function("shiftright", F.get(filters, F.floor(place / 64).cast("int")), (place % 64).cast("int")) % 2 != 0
+        return total + F.when(held, F.floor(x / _BITS)).otherwise(F.lit(0).cast("long"))
 
-    by_rare = materialize(
-        _score_rare(search_terms, entry_terms, search_hot, entry_side), "by-rare"
-    )
-    by_hot = _score_hot(search_hot, by_rare, entry_side, block_rows)
+    return F.aggregate("weighted_bits", F.lit(0).cast("long"), add)
 
-    top = (
-        by_rare.unionByName(by_hot)
-        .groupBy("search", "lookup_year")
-        .agg(F.min("top").alias("top"))
-    )
-    return asked.join(top, ["search", "lookup_year"], "left").select(
-        "title",
-        "lookup_year",
-        F.col("top.doi").alias("doi"),
-        F.coalesce(-F.col("top.neg") / MICRO, F.lit(0.0)).alias("score"),
-    )
 
+def _reaching(found: DataFrame, lists: DataFrame, floors: DataFrame | None) -> DataFrame:
+    """Candidate pairs (search, entry) whose bound reaches the score to beat, with the bound."""
+    known = lists.select("search", "weighted_bits")
+    known = known.withColumn("floor", F.lit(0)) if floors is None else known.join(floors, "search")
+    bounded = found.select("search", "entry", *_FILTER).join(known, "search").withColumn("bound", _bound())
+    return bounded.where("bound >= floor").select("search", "entry", "bound")
 
-def _score_rare(
-    search_terms: DataFrame, entry_terms: DataFrame, search_hot: DataFrame, entry_side: DataFrame
-) -> DataFrame:
-    """Best entry among those sharing a rare word with the search."""
-    asked = search_terms.where("not hot and search is not null").select(
-        "search", "lookup_year", "term", "weight", searched_years().alias("year")
-    )
-    # The null checks keep both uses of the sums identical, so that one shuffle serves both.
-    offered = entry_terms.where("not hot and entry is not null").select("entry", "year", "term")
-    sums = (
-        asked.join(offered, ["term", "year"])
-        # One shuffle serves the pair sums, the leader and the join of the hot words.
-        .repartition("search", "lookup_year")
-        .groupBy("search", "lookup_year", "entry", "year")
-        .agg(F.sum("weight").alias("rare"))
-    )
-    # The pair with the most rare weight, scored in full, is the score to beat.
-    leader = sums.groupBy("search", "lookup_year").agg(
-        F.max_by(F.struct("entry", "year", "rare"), "rare").alias("lead")
-    )
-    floor = (
-        leader.select("search", "lookup_year", "lead.*")
-        .join(search_hot, ["search", "lookup_year"], "left")
-        .join(entry_side, ["entry", "year"])
-        .select(
-            "search",
-            "lookup_year",
-            "search_hot_sum",
-            (F.col("rare") + _shared_hot_weight()).alias("floor"),
-        )
-    )
-    # Rows stay narrow until the bounds have done their work; the word lists come last.
-    missing = F.col("floor") - F.col("rare")
-    reachable = (
-        sums.join(floor, ["search", "lookup_year"])
-        .where(F.coalesce("search_hot_sum", F.lit(0)) >= missing)
-        .join(entry_side.select("entry", "year", "entry_hot_sum"), ["entry", "year"])
-        .where(F.coalesce("entry_hot_sum", F.lit(0)) >= missing)
-        .select("search", "lookup_year", "entry", "year", "rare")
+
+def _scored(pairs: DataFrame, lists: DataFrame, weighed: DataFrame) -> DataFrame:
+    """(search, score, doi) of candidate pairs by their shared words."""
+    offered = weighed.select("entry", "doi", F.transform("words", lambda w: _packed(-w["neg"], w["term"])).alias("entry_words"))
+    shared = F.array_intersect("search_words", "entry_words")
+    weight = F.aggregate(
+        shared, F.lit(0).cast("long"), lambda total, x: total + F.substring(x, 1, _WEIGHT_DIGITS).cast("long")
     )
-    scored = (
-        reachable.join(search_hot, ["search", "lookup_year"], "left")
-        .join(entry_side, ["entry", "year"])
-        .withColumn("score", F.col("rare") + _shared_hot_weight())
+    return (
+        pairs.join(offered, "entry")
+        .join(lists.select("search", "search_words"), "search")
+        .select("search", weight.alias("score"), "doi")
     )
-    return _best(scored, "search", "lookup_year")
 
 
-def _shared_hot_weight() -> Column:
-    """Summed weight of the hot words a search and an entry have in common."""
-    shared = F.array_intersect("search_hot", "entry_hot")
-    return F.coalesce(_total_weight(shared), F.lit(0))
+def _best(scored: DataFrame) -> DataFrame:
+    """Highest score per search, smallest DOI on ties; combines before the shuffle."""
+    return scored.groupBy("search").agg(F.min(F.struct((-F.col("score")).alias("neg"), "doi")).alias("top"))
 
 
 def searched_years() -> Column:
@@ -232,61 +179,111 @@ def searched_years() -> Column:
     return F.explode(F.array(F.col("lookup_year"), F.col("lookup_year") + 1))
 
 
-def _score_hot(
-    search_hot: DataFrame, by_rare: DataFrame, entry_side: DataFrame, block_rows: int
-) -> DataFrame:
-    """Best entry by hot words for the searches whose hot weights could still win."""
-    open_searches = (
-        search_hot.join(by_rare, ["search", "lookup_year"], "left")
-        .withColumn("floor", F.coalesce(-F.col("top.neg"), F.lit(0)))
-        .where(F.col("search_hot_sum") >= F.col("floor"))
-        .withColumn("hot_set", _signature(F.col("search_hot")))
+def _floors(best: DataFrame, lists: DataFrame) -> DataFrame:
+    """(search, floor): the best score so far, at least that of the heaviest word."""
+    return lists.join(best, "search", "left").select(
+        "search", F.greatest("heaviest", F.coalesce(-F.col("top.neg"), F.lit(0))).alias("floor")
     )
-    # Searches with the same hot words share the work; the lowest floor serves all of them.
-    asked = (
-        open_searches.groupBy("hot_set", "lookup_year")
-        .agg(F.min("floor").alias("floor"), F.any_value("search_hot").alias("search_hot"))
-        .select(
-            "hot_set",
-            "lookup_year",
-            "search_hot",
-            F.explode(_needed(F.col("search_hot"), F.col("floor"))).alias("word"),
-        )
-        .withColumn(
-            "piece",
-            F.explode(F.sequence(F.lit(0), _pieces(F.col("word"), block_rows) - 1)),
-        )
-        .withColumn("year", searched_years())
+
+
+def _under_words(asked: DataFrame, weighed: DataFrame) -> DataFrame:
+    """Entries of the searched years under rare words; ``asked`` has (search, lookup_year, term, floor)."""
+    index = weighed.select("entry", "year", "total", *_FILTER, F.explode("words").alias("word")).where("not word.hot")
+    # Whatever hashes to the same key is scored by its words in the end.
+    index = index.select("entry", "total", *_FILTER, F.xxhash64("word.term", "year").alias("key"))
+    wanted = asked.withColumn("year", searched_years()).select(
+        "search", "floor", F.xxhash64("term", "year").alias("key")
     )
-    offered = (
-        entry_side.where(F.col("entry_hot").isNotNull())
-        .groupBy("entry_hot", "year")
-        .agg(F.min("doi").alias("doi"))
-        .withColumn("word", F.explode("entry_hot"))
-        .withColumn(
-            "piece", F.pmod(F.xxhash64("doi"), _pieces(F.col("word"), block_rows)).cast("int")
+    return wanted.join(index, "key").where("total >= floor")
+
+
+def _under_pairs(hot: DataFrame, weighed: DataFrame) -> DataFrame:
+    """Entries with two hot words of a search that can still reach its score to beat."""
+    listed = (
+        hot.groupBy("search", "lookup_year", "floor")
+        .agg(
+            F.max("suffix").alias("reach"),
+            F.sort_array(F.collect_list(F.struct("place", "term", "weight", "suffix"))).alias("words"),
         )
+        .where("reach >= floor")
     )
-    scored = asked.join(offered, ["word", "year", "piece"]).withColumn(
-        "score", _shared_hot_weight()
+    first = listed.select("search", "lookup_year", "floor", "words", F.explode("words").alias("first"))
+    second = F.filter(
+        "words", lambda w: (w["place"] > F.col("first.place")) & (F.col("first.weight") + w["suffix"] >= F.col("floor"))
     )
-    return (
-        open_searches.select("search", "lookup_year", "hot_set")
-        .join(_best(scored, "hot_set", "lookup_year"), ["hot_set", "lookup_year"])
-        .select("search", "lookup_year", "top")
+    wanted = (
+        first.where("first.suffix >= floor")
+        .select("search", "lookup_year", "floor", "first.term", F.explode(F.transform(second, lambda w: w["term"])).alias("other"))
+        .withColumn("year", searched_years())
+        .select("search", "floor", F.xxhash64("term", "other", "year").alias("key"))
     )
+    # Words stand in the same order on both sides: heaviest first, then by the word.
+    held = F.filter("words", lambda w: w["hot"])
+    ordered = F.transform(held, lambda w: w["term"])
+    index = weighed.select("entry", "year", "total", *_FILTER, ordered.alias("words"))
+    index = index.select("entry", "year", "total", *_FILTER, "words", F.posexplode("words").alias("at", "term"))
+    rest = F.slice("words", F.col("at") + 2, F.size("words"))
+    index = index.select("entry", "year", "total", *_FILTER, "term", F.explode(rest).alias("other"))
+    index = index.select("entry", "total", *_FILTER, F.xxhash64("term", "other", "year").alias("key"))
+    return wanted.join(index, "key").where("total >= floor")
 
 
-def _pieces(word: Column, block_rows: int) -> Column:
-    """Number of salted pieces a word's block is cut into; the same on both sides."""
-    return F.ceil(_entries_of(word) / F.lit(block_rows)).cast("int")
-
+def best_candidate(
+    searches: DataFrame,
+    registry: DataFrame,
+    hot_rows: int = HOT_ROWS,
+    lead_words: int = LEAD_WORDS,
+) -> DataFrame:
+    """Top registry record of each different (title, lookup_year).
 
-def _needed(hot: Column, floor: Column) -> Column:
-    """Leading words up to which the weight of the rest can still reach the floor."""
-    return F.filter(
-        hot, lambda x, i: _total_weight(F.slice(hot, i + 1, F.size(hot))) >= floor
+    ``searches`` has (title, lookup_year), ``registry`` (doi, title, year).  Gives (title,
+    lookup_year, doi, score); without a hit the DOI is null and the score 0.
+    """
+    asked = searches.select("title", "lookup_year").distinct()
+    asked = asked.withColumn("terms", title_terms(F.col("title"))).withColumn(
+        "search", _signature(F.col("terms"), "lookup_year")
     )
+    entries = materialize(collapse_registry(registry), "entries")
+    weights = materialize(term_weights(registry, entries, hot_rows), "weights")
+    weighed = materialize(_weighed(entries, weights), "weighed-entries")
+    different = asked.select("search", "lookup_year", "terms").dropDuplicates(["search"])
+    words = materialize(_search_words(different, weights, weighed), "search-words")
+    lists = materialize(_search_lists(words), "search-lists")
+
+    rare = words.where("not hot")
+    lead = rare.where(F.col("place") <= lead_words).withColumn("floor", F.lit(0))
+    leaders = _reaching(_under_words(lead, weighed), lists, None)
+    leaders = leaders.groupBy("search").agg(F.max_by("entry", F.struct("bound", "entry")).alias("entry"))
+    led = materialize(_best(_scored(leaders, lists, weighed)), "led")
+
+    floors = _floors(led, lists)
+    needed = rare.join(floors, "search").where("suffix >= floor")
+    pairs = _reaching(_under_words(needed, weighed), lists, floors)
+    by_rare = materialize(_best(_scored(pairs.select("search", "entry").distinct(), lists, weighed).union(_unbest(led))), "by-rare")
+
+    floors = materialize(_floors(by_rare, lists), "floors")
+    pairs = _reaching(_under_pairs(words.where("hot").join(floors, "search"), weighed), lists, floors)
+    by_pairs = _scored(pairs.select("search", "entry").distinct(), lists, weighed)
+
+    single = weighed.select("year", "doi", F.explode("words.term").alias("term")).groupBy("term", "year").agg(F.min("doi").alias("doi"))
+    claims = (
+        words.join(floors, "search")
+        .where("weight >= floor")
+        .withColumn("year", searched_years())
+        .join(single, ["term", "year"])
+        .select("search", F.col("weight").alias("score"), "doi")
+    )
+    top = _best(_unbest(by_rare).union(by_pairs).union(claims))
+    return asked.join(top, "search", "left").select(
+        "title",
+        "lookup_year",
+        F.col("top.doi").alias("doi"),
+        F.coalesce(-F.col("top.neg") / MICRO, F.lit(0.0)).alias("score"),
+    )
+
+
+def _unbest(best: DataFrame) -> DataFrame:
+    return best.select("search", (-F.col("top.neg")).alias("score"), "top.doi")
 
 
 def registry_details(registry: DataFrame) -> DataFrame:

@@ -45,8 +45,8 @@ def skewed_titles(rng, n):
     return out
 
 
-@pytest.mark.parametrize("hot_rows, block_rows", [(2, 3), (10, 7), (10_000, 10_000)])
-def test_best_candidate_is_exact(spark, hot_rows, block_rows):
+@pytest.mark.parametrize("hot_rows, lead_words", [(0, 1), (2, 1), (10, 2), (60, 4), (10_000, 4)])
+def test_best_candidate_is_exact(spark, hot_rows, lead_words):
     rng = random.Random(hot_rows)
     registry = [(f"10.1/{i:04d}", t, 2000 + rng.randint(0, 3)) for i, t in enumerate(skewed_titles(rng, 250))]
     searches = sorted({(t, 2000 + rng.randint(0, 3)) for t in skewed_titles(rng, 200)} | {("nothing shared", 2000), ("the of", 2001)})
@@ -54,7 +54,7 @@ def test_best_candidate_is_exact(spark, hot_rows, block_rows):
         spark.createDataFrame(searches, "title string, lookup_year int"),
         spark.createDataFrame(registry, "doi string, title string, year int"),
         hot_rows=hot_rows,
-        block_rows=block_rows,
+        lead_words=lead_words,
     )
     got = {(r.title, r.lookup_year): (r.doi, r.score) for r in found.collect()}
     expected = brute_force(searches, registry)
