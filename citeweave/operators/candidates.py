@@ -11,21 +11,25 @@ words in more than ``hot_rows`` records are *hot* and come last.  What an entry
 bounded by its first shared word and the weights from there on, so it is looked for in steps,
 each with the score to beat of the step before:
 
-1. Entries under the few rarest words; the one with the highest bound is scored and, with the
-   heaviest single word, sets the score to beat.
-2. Entries under every other rare word from which on the weights still reach that score.
+1. Entries under the few rarest words.  The weight of the heaviest word is the score to beat.
+2. Entries under the next rare words, then all others, from which on the weights still reach it.
 3. Entries with hot words only.  One that shares a single word is no better than the best
    entry of that word, which is one row per word and year.  All others hold two of the search's hot
    words, so an index of word pairs is asked, for those pairs whose first word and whose weights from
    the second on reach the score.
 
-Index rows carry the entry's total weight, which must reach the score too, and a filter of 256
+Index rows carry the entry's total weight, which must reach the score too, and a filter of 1024
 bits over its words.  The search's words that the filter may hold bound the score before any
-word lists meet; only pairs whose bound reaches the score to beat are scored in full.
+word lists meet.  In each step the pair with the highest bound is scored in full, then those
+whose bound reaches that score.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,7 +43,7 @@ HOT_ROWS = 200
 LEAD_WORDS = 4
 MICRO = 1_000_000
 #: Longs of the bit filter over an entry's words.
-_LONGS = 4
+_LONGS = 16
 _BITS = 64 * _LONGS
 _FILTER = [f"bits{i}" for i in range(_LONGS)]
 
@@ -56,13 +60,13 @@ def _signature(terms: Column, year: str) -> Column:
 
 
 def collapse_registry(registry: DataFrame) -> DataFrame:
-    """One entry per set of words and year: (entry, year, doi, copies, terms)."""
+    """One entry per set of words and year: (entry, year, doi, copies, terms), to be written before use."""
     return (
         registry.select("doi", "year", title_terms(F.col("title")).alias("terms"))
         .where(F.size("terms") > 0)
         .groupBy("terms", "year")
         .agg(F.min("doi").alias("doi"), F.count(F.lit(1)).alias("copies"))
-        .select(_signature(F.col("terms"), "year").alias("entry"), "year", "doi", "copies", "terms")
+        .select(F.monotonically_increasing_id().alias("entry"), "year", "doi", "copies", "terms")
     )
 
 
@@ -135,24 +139,47 @@ def _packed(weight: Column, term: Column) -> Column:
     return F.concat(F.lpad(weight.cast("string"), _WEIGHT_DIGITS, "0"), term)
 
 
-def _bound() -> Column:
-    """Weight of the search's words that the entry's bit filter may hold."""
-    filters = F.array(*_FILTER)
-
-    def add(total: Column, x: Column) -> Column:
-        place = x % _BITS
-        held = F.call_function("shiftright", F.get(filters, F.floor(place / 64).cast("int")), (place % 64).cast("int")) % 2 != 0
-        return total + F.when(held, F.floor(x / _BITS)).otherwise(F.lit(0).cast("long"))
-
-    return F.aggregate("weighted_bits", F.lit(0).cast("long"), add)
-
+def _reaching(found: DataFrame, lists: DataFrame, floors: DataFrame) -> DataFrame:
+    """Candidate pairs (search, entry) whose bound reaches the score to beat, with the bound.
 
-def _reaching(found: DataFrame, lists: DataFrame, floors: DataFrame | None) -> DataFrame:
-    """Candidate pairs (search, entry) whose bound reaches the score to beat, with the bound."""
-    known = lists.select("search", "weighted_bits")
-    known = known.withColumn("floor", F.lit(0)) if floors is None else known.join(floors, "search")
-    bounded = found.select("search", "entry", *_FILTER).join(known, "search").withColumn("bound", _bound())
-    return bounded.where("bound >= floor").select("search", "entry", "bound")
+    The bound is the weight of the search's words that the entry's bit filter may hold.  Each search
+    comes to its task once, ahead of its candidates, which stream by in batches.
+    """
+    known = lists.select("search", "weighted_bits").join(floors, "search")
+    rows = known.unionByName(found.select("search", "entry", *_FILTER), allowMissingColumns=True)
+    rows = rows.select("search", "entry", "weighted_bits", "floor", *_FILTER)
+    # By a hash of the search: a union whose sides are both dealt by the search itself may be left as
+    # it is, though adaptive execution deals its sides apart.
+    ordered = rows.repartition(F.hash("search")).sortWithinPartitions("search", F.col("entry").asc_nulls_first())
+    filters, size = _FILTER, _BITS
+
+    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, mask, weight, floor = np.empty(0, np.int64), np.empty(0, np.uint8), np.empty(0), 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key = batch.column("search").to_numpy(zero_copy_only=False)
+            bits = np.stack([batch.column(c).fill_null(0).to_numpy(zero_copy_only=False) for c in filters], axis=1).view(np.uint8)
+            heads = batch.column("entry").is_null().to_numpy(zero_copy_only=False)
+            new = np.ones(len(key), bool)
+            new[1:] = key[1:] != key[:-1]
+            starts = np.flatnonzero(new).tolist()
+            bound, keep = np.zeros(len(key), np.int64), np.zeros(len(key), bool)
+            for start, stop in zip(starts, [*starts[1:], len(key)], strict=True):
+                if heads[start]:
+                    own = batch.column("weighted_bits")[start].values.to_numpy()
+                    at = own % size
+                    place, mask, weight = at // 8, (1 << at % 8).astype(np.uint8), (own // size).astype(np.float64)
+                    floor = batch.column("floor")[start].as_py()
+                    start += 1
+                if start < stop:
+                    bound[start:stop] = ((bits[start:stop, place] & mask) != 0) @ weight
+                    keep[start:stop] = bound[start:stop] >= floor
+            rows = pa.array(np.flatnonzero(keep))
+            columns = [batch.column("search").take(rows), batch.column("entry").take(rows), pa.array(bound[keep])]
+            yield pa.RecordBatch.from_arrays(columns, names=["search", "entry", "bound"])
+
+    return ordered.mapInArrow(bounded, "search long, entry long, bound long")
 
 
 def _scored(pairs: DataFrame, lists: DataFrame, weighed: DataFrame) -> DataFrame:
@@ -241,29 +268,32 @@ def best_candidate(
     """
     asked = searches.select("title", "lookup_year").distinct()
     asked = asked.withColumn("terms", title_terms(F.col("title"))).withColumn(
-        "search", _signature(F.col("terms"), "lookup_year")
+        "words", _signature(F.col("terms"), "lookup_year")
     )
     entries = materialize(collapse_registry(registry), "entries")
     weights = materialize(term_weights(registry, entries, hot_rows), "weights")
     weighed = materialize(_weighed(entries, weights), "weighed-entries")
-    different = asked.select("search", "lookup_year", "terms").dropDuplicates(["search"])
+    different = materialize(
+        asked.select("words", "lookup_year", "terms")
+        .dropDuplicates(["words"])
+        .withColumn("search", F.monotonically_increasing_id()),
+        "different-searches",
+    )
     words = materialize(_search_words(different, weights, weighed), "search-words")
     lists = materialize(_search_lists(words), "search-lists")
 
     rare = words.where("not hot")
-    lead = rare.where(F.col("place") <= lead_words).withColumn("floor", F.lit(0))
-    leaders = _reaching(_under_words(lead, weighed), lists, None)
-    leaders = leaders.groupBy("search").agg(F.max_by("entry", F.struct("bound", "entry")).alias("entry"))
-    led = materialize(_best(_scored(leaders, lists, weighed)), "led")
-
-    floors = _floors(led, lists)
-    needed = rare.join(floors, "search").where("suffix >= floor")
-    pairs = _reaching(_under_words(needed, weighed), lists, floors)
-    by_rare = materialize(_best(_scored(pairs.select("search", "entry").distinct(), lists, weighed).union(_unbest(led))), "by-rare")
-
+    none = lists.select("search", F.lit(0).cast("long").alias("score"), F.lit(None).cast("string").alias("doi")).limit(0)
+    by_rare = _best(none)
+    # Few words at first: the better the score to beat, the fewer of the others are needed.
+    for low, high in ((0, lead_words), (lead_words, 4 * lead_words), (4 * lead_words, None)):
+        some = rare.where(F.col("place") > low) if high is None else rare.where((F.col("place") > low) & (F.col("place") <= high))
+        floors = _floors(by_rare, lists)
+        needed = some.join(floors, "search").where("suffix >= floor")
+        by_rare = _best_of(_reaching(_under_words(needed, weighed), lists, floors), lists, weighed, _unbest(by_rare))
     floors = materialize(_floors(by_rare, lists), "floors")
-    pairs = _reaching(_under_pairs(words.where("hot").join(floors, "search"), weighed), lists, floors)
-    by_pairs = _scored(pairs.select("search", "entry").distinct(), lists, weighed)
+    hot = words.where("hot").join(floors, "search")
+    by_pairs = _best_of(_reaching(_under_pairs(hot, weighed), lists, floors), lists, weighed, _unbest(by_rare))
 
     single = weighed.select("year", "doi", F.explode("words.term").alias("term")).groupBy("term", "year").agg(F.min("doi").alias("doi"))
     claims = (
@@ -273,8 +303,9 @@ def best_candidate(
         .join(single, ["term", "year"])
         .select("search", F.col("weight").alias("score"), "doi")
     )
-    top = _best(_unbest(by_rare).union(by_pairs).union(claims))
-    return asked.join(top, "search", "left").select(
+    top = _best(_unbest(by_pairs).union(claims))
+    answers = different.select("words", "search").join(top, "search").select("words", "top")
+    return asked.join(answers, "words", "left").select(
         "title",
         "lookup_year",
         F.col("top.doi").alias("doi"),
@@ -282,6 +313,20 @@ def best_candidate(
     )
 
 
+def _best_of(
+    reaching: DataFrame, lists: DataFrame, weighed: DataFrame, so_far: DataFrame
+) -> DataFrame:
+    """Best per search among candidate pairs and earlier results.
+
+    The pair with the highest bound is scored first; of the others those whose bound reaches that score.
+    """
+    pairs = materialize(reaching, "pairs")
+    first = pairs.groupBy("search").agg(F.max_by("entry", F.struct("bound", "entry")).alias("entry"))
+    best = materialize(_best(_scored(first, lists, weighed).union(so_far)), "best")
+    left = pairs.join(_floors(best, lists), "search").where("bound >= floor").select("search", "entry").distinct()
+    return materialize(_best(_scored(left, lists, weighed).union(_unbest(best))), "best")
+
+
 def _unbest(best: DataFrame) -> DataFrame:
     return best.select("search", (-F.col("top.neg")).alias("score"), "top.doi")
 
