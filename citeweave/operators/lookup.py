@@ -38,14 +38,19 @@ def latest_lookup(lookups: DataFrame) -> DataFrame:
     return last_wins(lookups, ["doi"], F.col("ts"))
 
 
-def attach_metadata(gold: DataFrame, publications: DataFrame) -> DataFrame:
+def attach_metadata(
+    gold: DataFrame, publications: DataFrame, order: Column | None = None
+) -> DataFrame:
     """Give labelled rows the title and year to search with.
 
     ``gold`` has (key, title, ...), ``publications`` (key, title, year).  Adds csv_title,
     meta_title, meta_year (the metadata as it is, null without a record) and has_metadata;
-    title and year become the ones to search with.
+    title and year become the ones to search with.  Of publications with one key the last by
+    ``order`` counts, without it the largest.
     """
-    meta = publications.select(
+    by = F.lit(0) if order is None else order
+    last = last_wins(publications.select("key", "title", "year", by.alias("_by")), ["key"], F.col("_by"))
+    meta = last.select(
         "key",
         F.col("title").alias("meta_title"),
         F.col("year").alias("meta_year"),
@@ -67,9 +72,10 @@ def lookup_join(rows: DataFrame, answers: DataFrame, key_title: str = "title") -
     """Join rows to cached answers on (title, year) and say what is missing.
 
     ``key_title`` names the title column of the key: tuning looks up the metadata title,
-    hold-out evaluation the title of the CSV file.
+    hold-out evaluation the title of the CSV file.  Of several answers to one (title, year)
+    the largest (doi, score) counts.
     """
-    cached = answers.select(
+    cached = last_wins(answers.select("title", "year", "doi", "score"), ["title", "year"], F.lit(0)).select(
         F.col("title").alias("_title"),
         F.col("year").alias("_year"),
         F.col("doi").alias("registry_doi"),

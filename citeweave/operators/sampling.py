@@ -6,15 +6,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from citeweave.functions.fixed_values import PILOT_SIZE, SPLIT_SEED, TRAIN_SIZE
+from citeweave.session import materialize
 
 
 def _first_n(df: DataFrame, rank: Column, n: int, name: str) -> DataFrame:
     """Add a flag for exactly n rows: those with the smallest (rank, hash of the row).
 
     A top-n gives the last of them; every other row is decided by one comparison.  Only rows
-    tied with the last one, equal in every column, are numbered.
+    tied with the last one, equal in every column, are numbered.  The input is computed once.
     """
-    ranked = df.withColumn("_rank", F.struct(rank.alias("r"), F.xxhash64(*df.columns).alias("h")))
+    ranked = materialize(
+        df.withColumn("_rank", F.struct(rank.alias("r"), F.xxhash64(*df.columns).alias("h"))), "ranked"
+    )
     top = ranked.select("_rank").orderBy("_rank").limit(n)
     last = top.agg(F.max("_rank").alias("last"))
     tied_in = top.join(last, F.col("_rank") == F.col("last")).agg(F.count(F.lit(1)).alias("n")).scalar()
