@@ -19,6 +19,7 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import pyarrow as pa
 from pyspark import Broadcast
@@ -26,12 +27,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citeweave.llm.words import alnum_words, binary
+from citeweave.session import materialize
 
 WINDOW = 10
 #: Windows sent to the tasks at once: some tens of megabytes.
 SHARD_WINDOWS = 200_000
 _ITEM = "item string, words array<string>"
-_FOUND = "doc_id long, n_words long, hits array<struct<start: int, stop: int>>, items array<string>"
+_FOUND = "n_words long, hits array<struct<start: int, stop: int>>, items array<string>"
 
 
 @dataclass
@@ -140,7 +142,9 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def _searched(docs: DataFrame, items: list[tuple[str, list[bytes]]], window: int) -> DataFrame:
+    """Finds per row of `docs`, which has a text and further columns to keep."""
     sent = docs.sparkSession.sparkContext.broadcast(items)
+    kept = [c for c in docs.columns if c != "text"]
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         patterns = Patterns(sent.value, window)
@@ -149,30 +153,29 @@ def _searched(docs: DataFrame, items: list[tuple[str, list[bytes]]], window: int
             found = [patterns.search(text) for text in binary(batch.column("text"))]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id").cast(pa.int64()),
+                    *(batch.column(c) for c in kept),
                     pa.array([n for n, _, _ in found], pa.int64()),
                     pa.array([[{"start": a, "stop": b} for a, b in spans] for _, spans, _ in found], pa.list_(span)),
                     pa.array([sorted(names) for _, _, names in found], pa.list_(pa.string())),
                 ],
-                names=["doc_id", "n_words", "hits", "items"],
+                names=[*kept, "n_words", "hits", "items"],
             )
 
-    return docs.mapInArrow(search, _FOUND)
+    return docs.mapInArrow(search, ", ".join(f"`{c}` long" for c in kept) + ", " + _FOUND)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_windows: int = SHARD_WINDOWS) -> DataFrame:
-    """(doc_id, n_words, hits, items): hit word spans and the items with occurring windows.
-
-    One row per row of `docs`; with more windows than one shard holds, one row per doc_id.
-    """
-    texts = docs.select("doc_id", "text")
+    """(doc_id, n_words, hits, items) per row of `docs`: hit word spans and the items with occurring windows."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     shards = _shards(item_windows(benchmark, window), shard_windows)
-    first = _searched(texts, next(shards), window)
-    rest = [_searched(texts, items, window) for items in shards]
-    if not rest:
-        return first
-    for more in rest:
-        first = first.unionByName(more)
+    items, more = next(shards), next(shards, None)
+    if more is None:
+        return _searched(texts, items, window)
+    # Rows are numbered once: a doc_id may repeat or be missing.
+    numbered = materialize(texts.withColumn("row", F.monotonically_increasing_id()), "numbered-texts")
+    first = _searched(numbered, items, window)
+    for items in chain([more], shards):
+        first = first.unionByName(_searched(numbered, items, window))
     # A document has one row per shard of windows, with finds bounded by its own words.
     spans = F.sort_array(F.flatten(F.collect_list("hits")))
     union = F.aggregate(
@@ -191,11 +194,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
             ),
         ).otherwise(F.concat(done, F.array(s))),
     )
-    return first.groupBy("doc_id").agg(
+    found = first.groupBy("row").agg(
+        F.max("doc_id").alias("doc_id"),
         F.max("n_words").alias("n_words"),
         union.alias("hits"),
         F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
     )
+    return found.drop("row")
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_windows: int = SHARD_WINDOWS) -> DataFrame:

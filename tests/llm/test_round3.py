@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from citeweave.llm import periodic_runs, queries, vector_codes, weighted_prints
+from citeweave.llm import decontaminate, periodic_runs, queries, vector_codes, weighted_prints
 from citeweave.session import materialize
 
 from . import brute
@@ -257,3 +257,17 @@ def test_op13_query(spark):
         assert (r.n_chars, r.edited_sha256) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
         off += [r.near_edited - jaccard(text, edited), r.near_next - jaccard(text, following)]
     assert np.abs(off).mean() < 0.04 and abs(np.mean(off)) < 0.01 and np.abs(off).max() < 0.25
+
+
+@pytest.mark.parametrize("shard", [200_000, 3])
+def test_contamination_per_row_whatever_the_shards(spark, shard):
+    """Rows that share an id, or have none, are answered each."""
+    items = [(1, "a b c d e f g h i j k"), (2, "short item"), (3, "b c d e f g h i j k l m n")]
+    docs = [(5, "x a b c d e f g h i j y"), (5, "short item here"), (5, "short item here"), (None, "clean"), (None, "b c d e f g h i j k l")]
+    found = decontaminate.contamination(
+        spark.createDataFrame(docs, "doc_id long, text string").repartition(2),
+        spark.createDataFrame(items, "item_id long, text string"),
+        shard_windows=shard,
+    )
+    rows = Counter(tuple(r)[:3] for r in decontaminate.digest(found).select("doc_id", "n_words", "n_hit").collect())
+    assert rows == Counter({(5, 12, 10): 1, (5, 3, 2): 2, (None, 1, 0): 1, (None, 11, 11): 1})
