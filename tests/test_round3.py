@@ -7,6 +7,7 @@ import random
 from pyspark.sql import functions as F
 
 from citeweave.operators import candidates, lookup, sampling
+from citeweave.sources import lookup_store
 
 from .test_matching import brute_force
 
@@ -62,3 +63,33 @@ def test_candidates_over_many_batches(spark):
             spark.conf.set(key, value)
     got = {(r.title, r.lookup_year): (r.doi, round(r.score, 6)) for r in found}
     assert got == {k: (doi, round(score, 6)) for k, (doi, score) in brute_force(searches, registry).items()}
+
+
+def test_upserts_write_their_batch_only(spark, tmp_path):
+    path = str(tmp_path / "lookup")
+    frame = lambda ids, day, found: spark.createDataFrame(
+        [(f"10.1/{i}", found, None, f"2024-01-{day:02d}") for i in ids], "doi string, exists boolean, error_type string, ts string"
+    ).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    lookup_store.upsert_lookup(spark, path, frame(range(500), 1, False), max_deltas=3)
+    merged = lookup_store.upsert_lookup(spark, path, frame([3, 3, 700], 2, True), max_deltas=3)
+    assert spark.read.parquet(f"{path}/delta=2").count() == 2
+    assert merged.count() == 501 and merged.where("exists").count() == 2
+    # An older answer that comes later doesn't count.
+    assert lookup_store.upsert_lookup(spark, path, frame([3], 1, False), max_deltas=3).where("exists").count() == 2
+    # What a crash left behind is not read and is written anew.
+    frame(range(900), 9, True).write.parquet(f"{path}/delta=4")
+    (tmp_path / "lookup" / "delta=4" / "_SUCCESS").unlink()
+    assert lookup_store.load_lookup(spark, path).count() == 501
+    merged = lookup_store.upsert_lookup(spark, path, frame([800], 3, True), max_deltas=3)
+    assert merged.count() == 502 and lookup_store._committed(spark, path, "version") == [4]
+    assert lookup_store._counting(spark, path) == (4, [])
+    merged = lookup_store.upsert_lookup(spark, path, frame([801], 3, True), max_deltas=3)
+    assert merged.count() == 503 and lookup_store._counting(spark, path) == (4, [5])
+
+
+def test_last_given_answer_to_a_search_wins(spark, tmp_path):
+    path, schema = str(tmp_path / "answers"), lookup_store.ANSWER_SCHEMA
+    for doi in ("10.1/z", "10.1/a", None):
+        row = spark.createDataFrame([("t", None, doi, 1.0)], "title string, year string, doi string, score double")
+        lookup_store.upsert_lookup(spark, path, row, schema, max_deltas=1)
+        assert [r.doi for r in lookup_store.load_lookup(spark, path, schema).collect()] == [doi]
