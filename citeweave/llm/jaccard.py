@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citeweave.llm.graph import components
-from citeweave.llm.words import binary, scatter, shingle_sets, slices
+from citeweave.llm.words import binary, quoted, scatter, shingle_sets, slices
 from citeweave.session import materialize
 
 WORDS = 5
@@ -426,7 +426,7 @@ def _sketched(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 def clean_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """`docs`, same columns, with the smallest doc_id of each component only."""
     found = jaccard_components(docs, percent).where("component_id <> doc_id")
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select([quoted(c) for c in docs.columns])
 
 
 def _open_pairs(members: DataFrame, nodes: DataFrame, linked: DataFrame, percent: int) -> DataFrame:

@@ -33,6 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from citeweave.llm.words import quoted
 from citeweave.session import materialize
 
 MIN_KEY = 10
@@ -290,21 +291,24 @@ def without_lines(docs: DataFrame, dropped: DataFrame) -> DataFrame:
 
     The list of dropped lines of a document is never longer than the document itself.
     """
-    lists = dropped.groupBy("doc_id").agg(F.collect_set("line_no").alias("dropped lines"))
+    gone = "dropped lines"
+    while gone in docs.columns:
+        gone += " "
+    lists = dropped.groupBy("doc_id").agg(F.collect_set("line_no").alias(gone))
     text = F.coalesce(F.col("text"), F.lit(""))
 
     def kept(lines: Column) -> Column:
-        left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("dropped lines"))
+        left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
         return F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")
 
     found = F.struct(
         (F.length(F.regexp_replace(text, r"[^\n]+", "")) + 1).cast("long").alias("n_lines"),
-        F.coalesce(F.size(F.col("dropped lines")), F.lit(0)).cast("long").alias("n_dropped"),
-        F.when(F.col("dropped lines").isNull(), text)
+        F.coalesce(F.size(F.col(gone)), F.lit(0)).cast("long").alias("n_dropped"),
+        F.when(F.col(gone).isNull(), text)
         .otherwise(F.get(F.transform(F.array(F.split(text, "\n")), kept), F.lit(0)))
         .alias("kept_text"),
     )
-    return docs.join(lists, "doc_id", "left").select(*[docs[c] for c in docs.columns], found.alias(FOUND))
+    return docs.join(lists, "doc_id", "left").select(*[docs[quoted(c)] for c in docs.columns], found.alias(FOUND))
 
 
 def deduplicated(docs: DataFrame, n_batches: int = 2) -> DataFrame:
@@ -324,4 +328,4 @@ def clean_documents(docs: DataFrame) -> DataFrame:
     kept = f"`{FOUND}`.kept_text"
     done = deduplicated(docs).where(f"`{FOUND}`.n_dropped = 0 OR {kept} RLIKE r'[^ \\t-\\r]'")
     changed = {"text": F.col(kept), "n_chars": F.length(F.col(kept)).cast("long")}
-    return done.select(*[changed[c].alias(c) if c in changed else F.col(f"`{c}`") for c in docs.columns])
+    return done.select(*[changed[c].alias(c) if c in changed else F.col(quoted(c)) for c in docs.columns])

@@ -93,6 +93,11 @@ def binary(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()
 
 
+def quoted(column: str) -> str:
+    """A column's name for `select`, whatever signs it holds."""
+    return "`" + column.replace("`", "``") + "`"
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The rows of all batches in pieces of about `limit` bytes of one column, a row at least."""
     for batch in batches:

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from citeweave.llm import decontaminate, periodic_runs, queries, vector_codes, weighted_prints
+from citeweave.llm import decontaminate, jaccard, lines, periodic_runs, queries, vector_codes, weighted_prints
 from citeweave.session import materialize
 
 from . import brute
@@ -271,3 +271,15 @@ def test_contamination_per_row_whatever_the_shards(spark, shard):
     )
     rows = Counter(tuple(r)[:3] for r in decontaminate.digest(found).select("doc_id", "n_words", "n_hit").collect())
     assert rows == Counter({(5, 12, 10): 1, (5, 3, 2): 2, (None, 1, 0): 1, (None, 11, 11): 1})
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    """Names with dots, blanks and quotes, and names the stages use themselves."""
+    rows = [(1, "the same long line\nown line one", 1, "x", 2, 3), (2, "the same long line\nother", 4, "y", 5, 6), (3, None, 7, None, 8, 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, `a.b` int, `dropped lines` string, `q``r` int, n_dropped int")
+    kept = lines.clean_documents(df)
+    assert kept.columns == df.columns
+    assert {tuple(r) for r in kept.collect()} == {rows[0], (2, "other", *rows[1][2:]), (3, "", *rows[2][2:])}
+    apart = jaccard.clean_documents(df.unionByName(spark.createDataFrame([(9, *rows[0][1:])], df.schema)))
+    assert apart.columns == df.columns
+    assert {tuple(r) for r in apart.collect()} == set(rows)
