@@ -12,7 +12,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from citeweave.llm import decontaminate, jaccard, lines, periodic_runs, queries, vector_codes, weighted_prints
+from citeweave.llm import decontaminate, lines, periodic_runs, queries, vector_codes, weighted_prints
+from citeweave.llm import jaccard as ngram_join
 from citeweave.session import materialize
 
 from . import brute
@@ -280,6 +281,6 @@ def test_stages_keep_columns_of_any_name(spark):
     kept = lines.clean_documents(df)
     assert kept.columns == df.columns
     assert {tuple(r) for r in kept.collect()} == {rows[0], (2, "other", *rows[1][2:]), (3, "", *rows[2][2:])}
-    apart = jaccard.clean_documents(df.unionByName(spark.createDataFrame([(9, *rows[0][1:])], df.schema)))
+    apart = ngram_join.clean_documents(df.unionByName(spark.createDataFrame([(9, *rows[0][1:])], df.schema)))
     assert apart.columns == df.columns
     assert {tuple(r) for r in apart.collect()} == set(rows)
