@@ -7,11 +7,13 @@ says of every block whether it is main text; the main blocks, in page order, are
 
 The network is trained here, on a bounded sample of pages whose blocks a plain rule about
 elements labels, and on pages composed from the sample's paragraphs in many layouts, whose
-labels are known.  Pages of about equal length run through the network together.
+labels are known from the composition; in some the main text stands in unmarked elements.
+Sample pages in which nothing is marked as main text are left out.  Pages of about equal
+length run through the network together.
 
 Defined results: null and empty html have no text; text outside any element is a block;
-unclosed and wrongly nested elements are repaired; repeated rows are labelled each; an empty
-table gives an empty answer.  Other columns are left out.
+unclosed and wrongly nested elements are repaired as `html_blocks` says; repeated rows are
+labelled each; an empty table gives an empty answer.  Other columns are left out.
 """
 
 from __future__ import annotations
@@ -22,72 +24,65 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 
-from citeweave.llm.html_blocks import Block, blocks
+from citeweave.llm.html_blocks import BINS, OTHER_NAMES, Block, Element, blocks, name_bit
 from citeweave.llm.samples import hashed_sample
 from citeweave.llm.words import slices, word_hashes
 
-PATH, WORDS, PLAIN = 128, 32, 5
+PATH, WORDS, PLAIN = BINS, 32, 5
 SIZE = PATH + WORDS + PLAIN
 HIDDEN = 16
 #: Pages the sample holds at most, and pages composed for training.
-SAMPLE_PAGES, COMPOSED = 200, 400
+SAMPLE_PAGES, COMPOSED = 200, 600
 #: Training reads this many blocks of a page at most; labelling reads all.
 TRAIN_BLOCKS = 120
 #: Blocks, with padding, that run through the network at once.
 CELLS = 1 << 14
 
-#: Names that mark main text, and names that mark what is not.
-MAIN_NAMES = frozenset("<article <main article main content post entry story".split())
-OTHER_NAMES = frozenset(
-    "<nav <header <footer <aside <form <button nav navigation menu header footer sidebar aside ad ads advert advertisement "
-    "banner cookie consent notice comment comments reply replies social share related promo sponsored breadcrumb widget "
-    "popup modal newsletter subscribe login search pagination".split()
-)
-
-
 def ruled(block: Block) -> bool:
     """Label of a sample block: below a main element and below nothing that is marked otherwise."""
-    return not MAIN_NAMES.isdisjoint(block.path) and OTHER_NAMES.isdisjoint(block.path)
+    return bool(block.element and block.element.main and not block.element.other)
 
 
 class Vectors:
-    """Vectors of blocks; path parts are remembered, as pages share few paths."""
-
-    def __init__(self) -> None:
-        self._paths: dict[tuple[str, ...], np.ndarray] = {}
-
-    def _path(self, path: tuple[str, ...]) -> np.ndarray:
-        if path not in self._paths:
-            if len(self._paths) > 50_000:
-                self._paths.clear()
-            vector = np.zeros(PATH, np.float32)
-            for name in (*path, "leaf" + next((n for n in reversed(path) if n[0] == "<"), "")):
-                vector[xxhash.xxh32_intdigest(name.encode()) % PATH] = 1
-            self._paths[path] = vector
-        return self._paths[path]
-
-    def of(self, found: list[Block]) -> np.ndarray:
-        texts = [b.text.encode("utf-8", "surrogatepass") for b in found]
-        out = np.zeros((len(found), SIZE), np.float32)
+    """Vectors of blocks, in two parts: hashed names of the path, and what the text shows."""
+
+    def paths(self, found: list[Block]) -> tuple[np.ndarray, np.ndarray]:
+        """Different path vectors, and which of them each block has."""
+        places: dict[int, int] = {}
+        of = np.array([places.setdefault(self._bits(b.element), len(places)) for b in found], np.int64)
+        packed = b"".join(bits.to_bytes(PATH // 8, "little") for bits in places)
+        rows = np.frombuffer(packed, np.uint8).reshape(len(places), PATH // 8)
+        return np.unpackbits(rows, axis=1, bitorder="little").astype(np.float32), of
+
+    @staticmethod
+    def _bits(element: Element | None) -> int:
+        return (element.bits if element else 0) | name_bit("leaf" + (f"<{element.tag}" if element else ""))
+
+    def plain(self, found: list[Block]) -> np.ndarray:
+        out = np.zeros((len(found), WORDS + PLAIN), np.float32)
         if not found:
             return out
-        out[:, :PATH] = [self._path(b.path) for b in found]
-        hashes, counts = word_hashes(texts)
+        hashes, counts = word_hashes([b.text.encode("utf-8", "surrogatepass") for b in found])
         owner = np.repeat(np.arange(len(found)), counts)
         bins = owner * WORDS + (hashes & np.uint64(WORDS - 1)).astype(np.int64)
         spread = np.bincount(bins, minlength=len(found) * WORDS).reshape(-1, WORDS)
-        out[:, PATH : PATH + WORDS] = spread / np.maximum(1, counts)[:, None]
+        out[:, :WORDS] = spread / np.maximum(1, counts)[:, None]
         sizes = np.array([len(b.text) for b in found])
-        out[:, PATH + WORDS] = np.log1p(sizes) / 8
-        out[:, PATH + WORDS + 1] = np.log1p(counts) / 6
-        out[:, PATH + WORDS + 2] = np.minimum(1, np.array([b.linked for b in found]) / sizes)
-        out[:, PATH + WORDS + 3] = [b.text[-1] in ".!?…\"'”" for b in found]
-        out[:, PATH + WORDS + 4] = sizes > 80
+        out[:, WORDS] = np.log1p(sizes) / 8
+        out[:, WORDS + 1] = np.log1p(counts) / 6
+        out[:, WORDS + 2] = np.minimum(1, np.array([b.linked for b in found]) / sizes)
+        out[:, WORDS + 3] = [b.text[-1] in ".!?…\"'”" for b in found]
+        out[:, WORDS + 4] = sizes > 80
         return out
 
+    def of(self, found: list[Block]) -> np.ndarray:
+        if not found:
+            return np.zeros((0, SIZE), np.float32)
+        paths, which = self.paths(found)
+        return np.concatenate([paths[which], self.plain(found)], 1)
+
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
@@ -135,20 +130,28 @@ class Labeller:
                     trace.append((way, t, i, f, o, g, squashed, before_h, before_c))
         return states
 
-    def scores(self, pages: list[np.ndarray]) -> list[np.ndarray]:
+    def given(self, found: list[Block], vectors: Vectors) -> np.ndarray:
+        """What enters the gates of both directions, (blocks, 2, 4 * HIDDEN); a path is multiplied once."""
+        if not found:
+            return np.zeros((0, 2, 4 * HIDDEN))
+        (paths, which), plain = vectors.paths(found), vectors.plain(found)
+        return np.stack([(paths @ w[:PATH])[which] + plain @ w[PATH:] for w in self.into], 1)
+
+    def scores(self, pages: list[list[Block]], vectors: Vectors) -> list[np.ndarray]:
         """Logit of every block of every page; pages of like length run together."""
+        given = np.split(
+            self.given([b for found in pages for b in found], vectors), np.cumsum([len(found) for found in pages])[:-1]
+        )
         out: list[np.ndarray] = [np.empty(0)] * len(pages)
-        order = sorted((k for k in range(len(pages)) if len(pages[k])), key=lambda k: len(pages[k]))
+        order = sorted((k for k in range(len(pages)) if pages[k]), key=lambda k: len(pages[k]))
         start = 0
         while start < len(order):
             stop = start + 1
             while stop < len(order) and len(pages[order[stop]]) * (stop - start + 1) <= CELLS:
                 stop += 1
             group = order[start:stop]
-            x, real = _padded([pages[k] for k in group])
-            flat = x.reshape(-1, SIZE)
-            given = np.stack([flat @ w for w in self.into]).reshape(2, *x.shape[:2], -1)
-            logits = self.run(given, real) @ self.out + self.constant
+            x, real = _padded([given[k] for k in group])
+            logits = self.run(np.moveaxis(x, 2, 0), real) @ self.out + self.constant
             for row, k in enumerate(group):
                 out[k] = logits[row, : len(pages[k])]
             start = stop
@@ -157,7 +160,7 @@ class Labeller:
 
 def _padded(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     longest = max(map(len, pages))
-    x, real = np.zeros((len(pages), longest, SIZE)), np.zeros((len(pages), longest), bool)
+    x, real = np.zeros((len(pages), longest, *pages[0].shape[1:])), np.zeros((len(pages), longest), bool)
     for row, page in enumerate(pages):
         x[row, : len(page)], real[row, : len(page)] = page, True
     return x, real
@@ -193,8 +196,8 @@ def _slopes(net: Labeller, x: np.ndarray, real: np.ndarray, y: np.ndarray) -> li
     return [d_into, d_again, d_given.sum((1, 2)), d_out, np.array([off.sum()])]
 
 
-def fit(pages: list[tuple[list[Block], list[bool]]], seed: int = 0, rounds: int = 12, group: int = 40) -> Labeller:
-    """Adam over groups of pages of like length, on windows of `TRAIN_BLOCKS` blocks."""
+def fit(pages: list[tuple[list[Block], list[bool]]], seed: int = 0, rounds: int = 16, group: int = 40) -> Labeller:
+    """Adam with falling steps over groups of pages of like length, on windows of `TRAIN_BLOCKS` blocks."""
     rng, vectors = np.random.default_rng(seed), Vectors()
     net = Labeller.drawn(rng)
     data = []
@@ -205,7 +208,7 @@ def fit(pages: list[tuple[list[Block], list[bool]]], seed: int = 0, rounds: int
     groups = [data[k : k + group] for k in range(0, len(data), group)]
     first = [np.zeros_like(p) for p in net.parts()]
     second = [np.zeros_like(p) for p in net.parts()]
-    step = 0
+    step, steps = 0, rounds * len(groups)
     for _ in range(rounds):
         for k in rng.permutation(len(groups)):
             x, real = _padded([d[0] for d in groups[k]])
@@ -216,18 +219,19 @@ def fit(pages: list[tuple[list[Block], list[bool]]], seed: int = 0, rounds: int
             for p, a, b, slope in zip(net.parts(), first, second, _slopes(net, x, real, y), strict=True):
                 a += 0.1 * (slope - a)
                 b += 0.001 * (slope**2 - b)
-                p -= 0.01 * (a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.999**step)) + 1e-8)
+                p -= 0.01 * (1 - step / (steps + 1)) * (a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.999**step)) + 1e-8)
     return net
 
 
 def composed(paragraphs: list[str], rng: np.random.Generator) -> tuple[list[Block], list[bool]]:
-    """A page in a random layout, and which of its blocks are main text."""
+    """A page in a random layout, and which of its blocks are main text, known by where they stand."""
     clean = [re.sub(r"[<>&]", " ", p) for p in paragraphs] or ["Some words of a text."]
     pick = lambda low, high: [clean[k] for k in rng.integers(len(clean), size=rng.integers(low, high))]
     one = lambda items: items[rng.integers(len(items))]
     short = lambda: " ".join(one(clean).split()[: rng.integers(1, 5)]) or "more"
     links = lambda: "".join(f'<li><a href="/x">{short()}</a></li>' for _ in range(rng.integers(2, 12)))
     text = lambda: "".join(f"<p>{p}</p>" for p in pick(1, 4))
+    marked = sorted(name for name in OTHER_NAMES if name[0] != "<")
     other = {
         "menu": lambda: one(["<nav><ul>{}</ul></nav>", '<div class="menu"><ul>{}</ul></div>', '<ul id="nav">{}</ul>']).format(links()),
         "header": lambda: one(["<header><h2>{}</h2></header>", '<div class="header"><p>{}</p></div>']).format(short()),
@@ -237,20 +241,41 @@ def composed(paragraphs: list[str], rng: np.random.Generator) -> tuple[list[Bloc
         "form": lambda: f'<form action="/f"><label>{short()}</label><p>{one(clean)}</p><button>{short()}</button></form>',
         "comments": lambda: one(['<section class="comments">{}</section>', '<div id="comments">{}</div>', '<ol class="comment-list">{}</ol>']).format("".join(f'<div class="comment"><p>{p}</p></div>' for p in pick(1, 5))),
         "footer": lambda: one(["<footer>{0} {1}</footer>", '<div class="footer"><p>{0}</p><p>{1}</p></div>']).format(short(), one(clean)),
+        "named": lambda: one(['<div class="{0}">{1}</div>', '<section id="{0}"><p>{1}</p></section>', '<ul class="{0}"><li>{1}</li></ul>', '<div class="{0}-box"><h3>{2}</h3>{3}</div>']).format(one(marked), one(clean), short(), text()),
     }
-    some = lambda names: "".join(other[k]() for k in names if rng.random() < 0.5)
-    pieces = [f"<h1>{short()}</h1>", *(f"<p>{p}</p>" for p in pick(1, 14))]
-    inside = int(rng.integers(len(pieces) + 1))
+    page, mains = ["<body>"], []
+
+    def add(piece: str, main: bool = False) -> None:
+        start = sum(map(len, page))
+        page.append(piece)
+        if main:
+            mains.append((start, start + len(piece)))
+
+    def some(names: list[str], often: float = 0.5) -> None:
+        for name in names:
+            if rng.random() < often:
+                add(other[name]())
+
+    if rng.random() < 0.3:
+        pair = one([("", ""), ("<div>", "</div>"), ("<section>", "</section>"), ("<div><div>", "</div></div>"), ('<div class="wrap">', "</div>"),
+                    ('<div id="page"><div class="inner">', "</div></div>"), ("<table><tr><td>", "</td></tr></table>")])
+    else:
+        pair = one([("<article>", "</article>"), ("<main><article>", "</article></main>"), ("<main>", "</main>"), ('<div class="content">', "</div>"),
+                    ('<div id="main"><section class="post">', "</section></div>"), ('<div class="wrap"><article class="entry">', "</article></div>"),
+                    ('<div class="story">', "</div>")])
+    some(["notice", "header", "menu", "ad", "side", "named"])
+    add(pair[0])
+    add(f"<h1>{short()}</h1>", True)
+    for p in pick(1, 14):
+        add(one(["<p>{}</p>", "<p>{}</p>", "<p>{}</p>", "<div>{}</div>", "<ul><li>{}</li></ul>", "<h2>{}</h2>"]).format(p), True)
+        if rng.random() < 0.05:
+            some(["ad", "side", "named"], 0.4)
     if rng.random() < 0.3:
-        pieces.insert(inside, some(["ad", "side"]))
-    body = "".join(pieces) + (some(["comments", "form"]) if rng.random() < 0.3 else "")
-    wrapped = one(
-        ["<article>{}</article>", "<main><article>{}</article></main>", "<main>{}</main>", '<div class="content">{}</div>',
-         '<div id="main"><section class="post">{}</section></div>', '<div class="wrap"><article class="entry">{}</article></div>']
-    ).format(body)
-    page = "<body>" + some(["notice", "header", "menu", "ad", "side"]) + wrapped + some(["side", "ad", "form", "comments", "menu", "notice", "footer"])
-    found = blocks(page)
-    return found, [ruled(b) for b in found]
+        some(["comments", "form", "named"])
+    add(pair[1])
+    some(["side", "named", "ad", "form", "comments", "menu", "notice", "footer"])
+    found = blocks("".join(page))
+    return found, [any(start <= b.at < stop for start, stop in mains) for b in found]
 
 
 def train(pages: list[str | None], seed: int = 0) -> Labeller:
@@ -259,7 +284,7 @@ def train(pages: list[str | None], seed: int = 0) -> Labeller:
     parsed = [blocks(p) for p in pages]
     data = [(found, [ruled(b) for b in found]) for found in parsed]
     texts = [b.text for found in parsed for b in found if len(b.text) > 40]
-    return fit([d for d in data if d[0]] + [composed(texts, rng) for _ in range(COMPOSED)], seed)
+    return fit([d for d in data if any(d[1])] + [composed(texts, rng) for _ in range(COMPOSED)], seed)
 
 
 def sample_pages(pages: DataFrame, n: int = SAMPLE_PAGES) -> list[str]:
@@ -270,9 +295,7 @@ def sample_pages(pages: DataFrame, n: int = SAMPLE_PAGES) -> list[str]:
 
 def main_texts(pages: list[str | None], net: Labeller, vectors: Vectors) -> list[str]:
     parsed = [blocks(p) for p in pages]
-    flat = vectors.of([b for found in parsed for b in found])
-    cuts = np.cumsum([len(found) for found in parsed])[:-1]
-    scores = net.scores(np.split(flat, cuts))
+    scores = net.scores(parsed, vectors)
     return [
         " ".join(b.text for b, s in zip(found, score, strict=True) if s > 0) if found else ""
         for found, score in zip(parsed, scores, strict=True)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import time
 import zlib
 
 import numpy as np
@@ -159,7 +160,7 @@ def test_main_text_of_composed_pages(network):
     wrong = total = 0
     for _ in range(150):
         found, labels = html_main.composed(["some words of a text that is long enough.", "another text"], rng)
-        score = network.scores([html_main.Vectors().of(found)])[0]
+        score = network.scores([found], html_main.Vectors())[0]
         wrong += int(((score > 0) != np.array(labels)).sum())
         total += len(labels)
     assert wrong <= 0.02 * total
@@ -268,3 +269,56 @@ def test_licence_scan(spark, frame, docs, empty, model):
     assert licences.scan(frame, model).where(F.col("families") != "").count() == 0
     assert licences.scan(empty, model).count() == 0
     assert licences.sample_paragraphs(empty) == []
+
+
+@pytest.mark.parametrize(
+    "page, texts",
+    [
+        ("<article>a<svg width='1'/><p>b</article>", ["a", "b"]),
+        ("<article>a<svg><p>b</article>", ["a", "b"]),
+        ("<article><svg><title>t</title></svg>a</article>", ["a"]),
+        ("<article><select><option>x<option>y<p>keep</article>", ["keep"]),
+        ("<article>a<select><option>x</select>b<noscript>n</noscript></article>", ["ab"]),
+        ("<article>a<object data=x><p>b<iframe src=y><p>c</article>", ["a", "b", "c"]),
+        ("<template><template>x</template>y</template>z", ["z"]),
+        ("<p title='a>b'>c", ["c"]),
+        ('<p title="a>b</p>c<p>d', ["b", "c", "d"]),
+        ("<p>it's <b>a</b> <i don't>b</i>", ["it's a b"]),
+        ("<style-guide>a</style-guide><style>b", ["a"]),
+        ("<!-->a<!-- b", ["a"]),
+    ],
+)
+def test_blocks_of_malformed_pages(page, texts):
+    assert [b.text for b in html_blocks.blocks(page)] == texts
+
+
+def test_blocks_take_time_in_proportion():
+    """Each of these pages took minutes or more where a pass starts again at every element."""
+    pages = {
+        "<a " * 100_000: 1,
+        '<a =">"' * 50_000: 1,
+        "<a x='>'" * 50_000 + '"': 1,
+        "<div>x" * 30_000: 30_000,
+        "<p><div>" + "<h1>x" * 30_000: 30_000,
+        "<b2>x" * 30_000 + "</zz>" * 30_000: 30_000,
+        "<svg>x" * 30_000: 1,
+        "<script " * 30_000: 0,
+    }
+    began = time.process_time()
+    assert [len(html_blocks.blocks(page)) for page in pages] == list(pages.values())
+    assert time.process_time() - began < 20
+
+
+def test_main_text_without_marked_elements(network):
+    words = "<p>" + "some words of a text that is long enough. " * 4 + "</p>"
+    page = f"<body><nav><a href=x>m</a></nav><div><h1>A heading</h1>{words * 3}</div><div class=share>{words}</div><footer>f</footer>"
+    (text,) = html_main.main_texts([page], network, html_main.Vectors())
+    assert text.count("long enough") == 12
+
+
+def test_given_is_the_product_of_the_vectors(network):
+    rng = np.random.default_rng(5)
+    found, _ = html_main.composed(["some words", "others"], rng)
+    vectors = html_main.Vectors()
+    plain = np.stack([vectors.of(found) @ w for w in network.into], 1)
+    assert np.allclose(network.given(found, vectors), plain, atol=1e-4)
