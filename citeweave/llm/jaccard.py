@@ -24,7 +24,8 @@ apart.  Components are all that is asked for, so no link between different texts
 *Verification* compares the whole shingle sets.  Shingles and sets are known by 64-bit hashes.
 
 Defined results: null and empty texts have no shingles and link with nothing; fewer words than
-a shingle make one; equal texts link; rows without doc_id are left out; repeated rows are
+a shingle make one; equal texts link; rows without doc_id are left out; repeated rows, and rows
+of one doc_id with different texts, are
 answered each; an empty table gives an empty answer.  Other columns are left out.
 """
 
@@ -141,7 +142,7 @@ def index_entries(shingles: np.ndarray, windows: Windows, frequent: np.ndarray)
     return np.concatenate(out) if out else np.empty(0, _U)
 
 
-_SETS = "doc_id long, n_shingles long, node long, sketch binary, frequent binary"
+_SETS = "doc_id long, print long, n_shingles long, node long, sketch binary, frequent binary"
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,12 +156,13 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id").cast(pa.int64()),
+                batch.column("print"),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([set_key(s) for s in sets], pa.int64()),
                 pa.array([sketch(s) for s in sets], pa.binary()),
                 pa.array(frequent, pa.binary()),
             ],
-            names=["doc_id", "n_shingles", "node", "sketch", "frequent"],
+            names=["doc_id", "print", "n_shingles", "node", "sketch", "frequent"],
         )
 
 
@@ -364,11 +366,16 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
 def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id), a row per row of `docs` with a doc_id."""
-    plain = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
+    return _placed(docs, percent).select("doc_id", "n_shingles", "component_id")
+
+
+def _placed(docs: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, print, n_shingles, component_id); rows that share a doc_id are told apart by the hash of the text."""
+    plain = docs.where("doc_id IS NOT NULL").select("doc_id", "text", F.xxhash64("text").alias("print"))
     sets = materialize(plain.mapInArrow(_sets, _SETS), "shingle-sets")
     classes = sets.where("n_shingles > 0").groupBy("node").agg(
-        F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"), F.min("doc_id").alias("first_doc")
-    )
+        F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"), F.min(F.struct("doc_id", "print")).alias("first")
+    ).select("node", "n_shingles", "sketch", F.col("first.doc_id").alias("first_doc"), F.col("first.print").alias("first_print"))
     total = sets.agg(F.sum("n_shingles")).first()[0] or 0
     n_buckets = max(1, round(0.6 * total / BUCKET_ENTRIES))
     packed = _packed_index(plain, frequent_bits(sets), n_buckets, percent)
@@ -379,7 +386,10 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     weights = members.groupBy("node").agg(F.sum("size").alias("weight"))
     nodes = materialize(classes.join(weights, "node"), "jaccard-nodes")
     texts = materialize(
-        plain.join(nodes.select("node", F.col("first_doc").alias("doc_id")), "doc_id").dropDuplicates(["node"]), "jaccard-texts"
+        plain.join(
+            nodes.select("node", F.col("first_doc").alias("doc_id"), F.col("first_print").alias("print")), ["doc_id", "print"]
+        ).dropDuplicates(["node"]),
+        "jaccard-texts",
     )
     first = materialize(_leaders(members, nodes), "jaccard-first")
     links = materialize(_verified(_sketched(first, nodes, percent), texts, percent), "jaccard-links")
@@ -394,6 +404,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     named = named.select("node", F.coalesce("component", "first_doc").alias("component"))
     return sets.join(named, "node", "left").select(
         "doc_id",
+        "print",
         "n_shingles",
         F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"),
     )
@@ -424,9 +435,14 @@ def _sketched(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 
 def clean_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """`docs`, same columns, with the smallest doc_id of each component only."""
-    found = jaccard_components(docs, percent).where("component_id <> doc_id")
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select([quoted(c) for c in docs.columns])
+    """`docs`, same columns, with the rows of the smallest doc_id of each component only.
+
+    A row goes by its own text: of rows that share a doc_id only those of other components go.
+    """
+    found = _placed(docs, percent).where("component_id <> doc_id")
+    gone = found.select(F.col("doc_id").alias("gone_doc"), F.col("print").alias("gone_print")).distinct()
+    same = (docs["doc_id"] == gone["gone_doc"]) & (F.xxhash64(docs["text"]) == gone["gone_print"])
+    return docs.join(gone, same, "left_anti").select([quoted(c) for c in docs.columns])
 
 
 def _open_pairs(members: DataFrame, nodes: DataFrame, linked: DataFrame, percent: int) -> DataFrame:

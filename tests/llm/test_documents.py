@@ -174,3 +174,14 @@ def test_contamination_of_odd_documents(spark, frame, docs, empty):
     assert decontaminate.contamination(empty, _items(spark)).count() == 0
     none = decontaminate.digest(decontaminate.contamination(frame, _items(spark).where("false")))
     assert none.where("contaminated").count() == 0 and none.count() == len(docs)
+
+
+def test_jaccard_of_one_id_with_different_texts(spark):
+    """Links are verified on the text that made them, and a row goes by its own text."""
+    words = [f"w{k}" for k in range(40)]
+    text, near, other = " ".join(words), " ".join([*words, "more"]), " ".join(f"v{k}" for k in range(30))
+    df = spark.createDataFrame([(5, other), (5, text), (7, near), (3, other), (9, None)], "doc_id long, text string").repartition(3)
+    found = {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard.jaccard_components(df).collect()}
+    assert found == {(5, 26, 3), (5, 36, 5), (7, 37, 5), (3, 26, 3), (9, 0, 9)}
+    kept = {(r.doc_id, r.text) for r in jaccard.clean_documents(df).collect()}
+    assert kept == {(5, text), (3, other), (9, None)}
