@@ -37,11 +37,14 @@ def in_journal(
     return F.coalesce(match, F.lit(False))
 
 
-def publications(rows: DataFrame, order: Column | None = None, **journal) -> DataFrame:
+def publications(
+    rows: DataFrame, order: Column | None = None, keep_order: str | None = None, **journal
+) -> DataFrame:
     """Publications of the journal with at least one ORCID author, the last row per id.
 
     ``rows`` has id, title, author, pub_date, venue as text.  Authors are parsed only for
-    rows of the journal.  ``order`` says which of several rows is last.
+    rows of the journal.  ``order`` says which of several rows is last; ``keep_order`` names a
+    column that keeps it.
     """
     parsed = rows.where(in_journal(F.col("venue"), **journal)).select(
         first_token(F.col("id")).alias("id"),
@@ -53,7 +56,8 @@ def publications(rows: DataFrame, order: Column | None = None, **journal) -> Dat
         (F.lit(0) if order is None else order).alias("_order"),
     )
     kept = parsed.where(F.size("authors") > 0)
-    return last_wins(kept, ["id"], F.col("_order")).drop("_order")
+    last = last_wins(kept, ["id"], F.col("_order"))
+    return last.withColumnRenamed("_order", keep_order) if keep_order else last.drop("_order")
 
 
 def edges_touching(edges: DataFrame, pubs: DataFrame) -> DataFrame:
@@ -126,20 +130,31 @@ def pubs_with_citations(pubs: DataFrame, touching: DataFrame) -> DataFrame:
     )
 
 
-def short_ids(ids: DataFrame, length: int = SHORT_ID_LENGTH) -> DataFrame:
+def short_ids(
+    ids: DataFrame, length: int = SHORT_ID_LENGTH, taken: DataFrame | None = None
+) -> DataFrame:
     """Unique (id, short_id) pairs.
 
+    ``taken`` has pairs given earlier: they stay as they are and are part of the result, and
+    only ids without one claim what is left.  A short id once given so never changes.
+
     Ids whose short form is taken by a smaller id are hashed again with a suffix, until none
     is left.  The first round shuffles all ids; the later ones handle the few losers only.
     Every ``CROWDED`` rounds the form gets one character longer, so that the search ends even
     where there are too few forms of the wanted length.
     """
-    claims = materialize(_claim(ids.select("id").distinct(), F.col("id"), length), "short-ids")
-    settled, losers = claims.where("id = winner"), claims.where("id <> winner").select("id")
-    attempt = 0
+    wanted = ids.select("id").distinct()
+    if taken is None:
+        claims = materialize(_claim(wanted, F.col("id"), length), "short-ids")
+        settled, losers = claims.where("id = winner"), claims.where("id <> winner").select("id")
+        attempt = 1
+    else:
+        settled = taken.select("id", "short_id", F.col("id").alias("winner"))
+        losers, attempt = wanted.join(taken.select("id"), "id", "left_anti"), 0
     while not losers.isEmpty():
+        text = F.concat("id", F.lit(f"#{attempt}")) if attempt else F.col("id")
+        again = _claim(losers, text, length + attempt // CROWDED)
         attempt += 1
-        again = _claim(losers, F.concat("id", F.lit(f"#{attempt}")), length + attempt // CROWDED)
         taken = settled.select("short_id", F.lit(True).alias("taken"))
         again = materialize(
             again.join(taken, "short_id", "left").withColumn(
@@ -147,7 +162,7 @@ def short_ids(ids: DataFrame, length: int = SHORT_ID_LENGTH) -> DataFrame:
             ),
             "short-ids",
         )
-        settled = settled.unionByName(again.where("won").select(settled.columns))
+        settled = settled.unionByName(again.where("won").select("id", "short_id", "winner"))
         losers = again.where("NOT won").select("id")
     return settled.select("id", "short_id")
 

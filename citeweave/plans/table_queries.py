@@ -40,6 +40,7 @@ from citeweave.plans.view_sql import (
 )
 from citeweave.session import materialize, shared_folder
 from citeweave.sources import dump, lookup_store, readers, registry, writers
+from citeweave.streaming import extraction
 
 
 def scratch(spark, name: str) -> str:
@@ -446,7 +447,7 @@ def enrich_converted(spark, d):
     )
 
 
-@query(
+_COMMUNITY = (
     with_(
         PAPERS, DUMP,
         f"""
@@ -476,13 +477,49 @@ cites AS (
       coalesce(outgoing, '') AS outgoing, coalesce(incoming, '') AS incoming
     FROM shortened s LEFT JOIN cites c ON s.id = c.id"""
 )
+
+
+def _dump_edges(spark, d):
+    return views.table(spark, d, "lineitem").selectExpr(
+        "concat('omid:br/06', l_suppkey) AS citing", "concat('omid:br/06', l_partkey) AS cited"
+    )
+
+
+@query(_COMMUNITY)
 def extract_community(spark, d):
     rows = dump.parse_wrapped(views.dump_lines(spark, d), "source", "line_no")
-    edges = views.table(spark, d, "lineitem").selectExpr(
-        "concat('omid:br/06', l_suppkey) AS citing", "concat('omid:br/06', l_partkey) AS cited"
+    out = jobs.extract_community(rows, _dump_edges(spark, d), F.struct("source", "line_no"), part_size=5)
+    return _community(out)
+
+
+def _write_dump(lines: DataFrame, path: str, piece_lines: int = 100_000) -> None:
+    """Dump lines as files of some lines each, with their source's header, in an order that paths keep."""
+    piece = F.lpad(F.floor(F.col("line_no") / piece_lines).cast("string"), 8, "0")
+    body = lines.where("line_no > 0").withColumn("piece", piece)
+    headers = body.select("source", "piece").distinct().join(lines.where("line_no = 0"), "source")
+    dealt = body.unionByName(headers).repartition("source", "piece").sortWithinPartitions("source", "piece", "line_no")
+    dealt.select("source", "piece", "value").write.mode("append").partitionBy("source", "piece").text(path)
+
+
+@query(_COMMUNITY)
+def extract_arrivals(spark, d):
+    """From dump files to written publications, sources and edges arriving in two lots."""
+    path = scratch(spark, "arrivals")
+    lines, edges = views.dump_lines(spark, d), _dump_edges(spark, d)
+    early_source, early_edge = F.pmod(F.crc32("source"), F.lit(2)) == 0, F.pmod(F.crc32("cited"), F.lit(2)) == 0
+    for wanted_source, wanted_edge in ((early_source, early_edge), (~early_source, ~early_edge)):
+        _write_dump(lines.where(wanted_source), f"{path}/dump")
+        edges.where(wanted_edge).write.mode("append").csv(f"{path}/edges", header=True)
+        extraction.extract_arrivals(spark, f"{path}/dump", f"{path}/edges", f"{path}/tables", f"{path}/out", part_size=5)
+    return _community(
+        spark.read.schema(
+            "id string, title string, venue string, year int, authors array<struct<name: string>>, part bigint, parts bigint, "
+            "outgoing_citations array<string>, incoming_citations array<string>"
+        ).json(f"{path}/out/publications")
     )
-    order = F.struct("source", "line_no")
-    out = jobs.extract_community(rows, edges, order, part_size=5)
+
+
+def _community(out: DataFrame) -> DataFrame:
     return out.select(
         "id", "title", "venue", "year", F.size("authors").cast("bigint").alias("authors"), "part", "parts",
         joined("outgoing_citations").alias("outgoing"), joined("incoming_citations").alias("incoming"),

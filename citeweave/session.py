@@ -58,6 +58,11 @@ def materialize(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def clear_intermediates(spark: SparkSession) -> int:
     """Delete the intermediate tables of this application; how many there were.
 
