@@ -83,3 +83,9 @@ ERROR_NO_TITLE = "Titolo mancante"
 ERROR_NOT_CACHED = "Chiave non trovata nella cache"
 ERROR_EMPTY_ANSWER = "Nessun risultato nella cache"
 ERROR_NO_HIT = "Nessun risultato da Crossref"
+
+#: Columns of the file of wrong matches.
+WRONG_MATCH_COLUMNS = (
+    "key", "title", "gold_doi", "crossref_doi", "score", "on_crossref", "cr_title", "cr_year", "cr_authors", "cr_venue",
+    "is_valid_match", "title_similarity", "title_valid", "year_valid", "author_valid",
+)

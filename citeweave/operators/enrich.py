@@ -15,19 +15,22 @@ from .lookup import last_wins, one_per
 
 
 def enrich_by_doi(entries: DataFrame, lookups: DataFrame) -> DataFrame:
-    """Status of each (key, doi) entry: found, not found (with its error) and retryable.
+    """Status of each (key, doi) entry: found, not found or error, with its error and retryable.
 
-    ``lookups`` has one answer per DOI: (doi, exists, error_type).
+    ``lookups`` has one answer per DOI: (doi, exists, error_type), and where lookups can break
+    off, failure, the text of what was raised; such an entry has the status error.
     """
     asked = entries.select("key", normalize_doi(F.col("doi"), trim_end=True).alias("doi")).where(
         F.col("doi").isNotNull()
     )
-    found = F.coalesce("exists", F.lit(False))
-    error = F.when(~found, F.col("error_type"))
-    return asked.join(lookups.select("doi", "exists", "error_type"), "doi", "left").select(
+    failure = F.col("failure") if "failure" in lookups.columns else F.lit(None).cast("string")
+    answers = lookups.select("doi", "exists", "error_type", failure.alias("failure"))
+    found = F.coalesce("exists", F.lit(False)) & F.col("failure").isNull()
+    error = F.when(~found, F.coalesce("failure", "error_type"))
+    return asked.join(answers, "doi", "left").select(
         "key",
         "doi",
-        F.when(found, "found").otherwise("not found").alias("status"),
+        F.when(F.col("failure").isNotNull(), "error").when(found, "found").otherwise("not found").alias("status"),
         error.alias("error_type"),
         is_retryable(error).alias("retryable"),
     )

@@ -135,16 +135,18 @@ def merge_lookups(old: DataFrame, new: DataFrame) -> DataFrame:
 def answer(dois: DataFrame, registry: DataFrame, now: Column) -> DataFrame:
     """Answers of the registry table for some DOIs: (doi, exists, error_type, ts).
 
-    A registry row may carry an error_type of its own, else a miss has none.
+    A registry row may carry an error_type of its own, else a miss has none, and a failure, the
+    text of what its lookup raised; then the answers have that column as well.
     """
+    may_fail = ["failure"] if "failure" in registry.columns else []
     own_error = F.col("error_type") if "error_type" in registry.columns else F.lit(None)
-    answers = registry.select("doi", own_error.cast("string").alias("error_type"))
+    answers = registry.select("doi", own_error.cast("string").alias("error_type"), *may_fail)
     known = one_per(answers, "doi").withColumn("_hit", F.lit(True))
+    hit = F.coalesce("_hit", F.lit(False)) & F.col("error_type").isNull()
+    for c in may_fail:
+        hit = hit & F.col(c).isNull()
     return dois.join(known, "doi", "left").select(
-        "doi",
-        (F.coalesce("_hit", F.lit(False)) & F.col("error_type").isNull()).alias("exists"),
-        "error_type",
-        now.alias("ts"),
+        "doi", hit.alias("exists"), "error_type", now.alias("ts"), *may_fail
     )
 
 

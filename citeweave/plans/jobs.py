@@ -220,8 +220,9 @@ def enrich(
 
     ``retries`` is the retry set (key, doi) of an earlier run: its entries take part again,
     and are asked for whatever the lookup table says.  A metadata row may carry an
-    ``error_type``, the failure of its lookup.  ``fresh`` are the new answers, to be merged
-    into the lookup table.
+    ``error_type``, the error its lookup answers with, or a ``failure``, what its lookup raises:
+    such entries have the status error and no answer.  ``fresh`` are the new answers, to be
+    merged into the lookup table.
     """
     known = latest_lookup(lookups.select("doi", "exists", "error_type", "ts"))
     settled = known
@@ -230,7 +231,14 @@ def enrich(
         entries = entries.select("key", "doi").unionByName(retries.select("key", "doi")).distinct()
     asked = entries.select("doi").distinct()
     fresh = materialize(answer(uncached(asked, settled), metadata, now), "answers")
-    results = materialize(enrich_by_doi(entries, merge_lookups(known, fresh)), "enriched")
+    answers = merge_lookups(known, fresh)
+    if "failure" in fresh.columns:
+        # What failed is not an answer: it counts in this run and is asked again in the next.
+        failed = fresh.where("failure IS NOT NULL")
+        fresh = fresh.where("failure IS NULL").drop("failure")
+        answers = merge_lookups(known, fresh).join(failed.select("doi"), "doi", "left_anti")
+        answers = answers.unionByName(failed, allowMissingColumns=True)
+    results = materialize(enrich_by_doi(entries, answers), "enriched")
     return Enrichment(results, convert_records(results, metadata), run_summary(results), fresh)
 
 

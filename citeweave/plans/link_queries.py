@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from citeweave.functions.dates import lookup_year
@@ -11,7 +13,7 @@ from citeweave.functions.similarity import title_similarity as similarity
 from citeweave.functions.similarity import title_valid as above_threshold
 from citeweave.operators import candidates, evaluate, validate
 from citeweave.plans import jobs, views
-from citeweave.plans.registered import query, six
+from citeweave.plans.registered import SQL, query, six
 from citeweave.plans.view_sql import (
     BEST,
     LCS,
@@ -27,6 +29,8 @@ from citeweave.plans.view_sql import (
     words,
     year_sql,
 )
+from citeweave.session import shared_folder
+from citeweave.sources.writers import write_wrong_matches
 
 _WANTED = f"""
 wanted AS (SELECT title, {year_sql('year')} AS lookup_year FROM publications WHERE title <> '')"""
@@ -406,9 +410,29 @@ def wrong_matches(spark, d):
       AND NOT coalesce(gold_norm = registry_norm, false) AND gold_norm IN (SELECT lower(doi) FROM registry)"""
 )
 def error_analysis(spark, d):
-    wrong = jobs.error_analysis(jobs.tune_cutoff(*_sources(spark, d)))
-    return validate.expand_details(wrong).select(
-        "key", "registry_doi", "score", "cr_title", "cr_year", F.concat_ws(", ", "cr_authors").alias("cr_authors"),
+    return _wrong_rows(_wrong(spark, d), "registry_doi")
+
+
+@query(SQL["error_analysis"].replace("m.registry_doi, m.score", "m.registry_doi AS crossref_doi, m.score"))
+def write_error_analysis(spark, d):
+    """The written file of wrong matches, read back."""
+    path = f"{shared_folder(spark)}/wrong-{uuid.uuid4().hex}"
+    write_wrong_matches(_wrong(spark, d), path)
+    read = spark.read.csv(f"{path}/wrong_matches", header=True, quote='"', escape='"', multiLine=True)
+    typed = {"score": "double", "title_similarity": "double", "cr_year": "int", "is_valid_match": "boolean"}
+    rows = read.withColumns({c: F.col(c).cast(t) for c, t in typed.items()})
+    return _wrong_rows(rows.withColumn("cr_authors", F.array("cr_authors")), "crossref_doi")
+
+
+def _wrong(spark, d):
+    return jobs.error_analysis(jobs.tune_cutoff(*_sources(spark, d)))
+
+
+def _wrong_rows(wrong, doi):
+    if "details" in wrong.columns:
+        wrong = validate.expand_details(wrong)
+    return wrong.select(
+        "key", doi, "score", "cr_title", "cr_year", F.concat_ws(", ", "cr_authors").alias("cr_authors"),
         "is_valid_match", six("title_similarity").alias("title_similarity"),
     )
 

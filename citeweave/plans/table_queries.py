@@ -698,9 +698,7 @@ def write_wrong_matches(spark, d):
     scored = views.scored(spark, d)
     cutoff = evaluate.best_cutoff(evaluate.cutoff_sweep(scored)).select("cutoff").scalar()
     writers.write_wrong_matches(evaluate.wrong_matches(scored, cutoff), path)
-    return spark.read.csv(
-        f"{path}/wrong_matches", header=True, schema="key string, score double, is_correct boolean, on_registry boolean"
-    ).select("key", "score")
+    return spark.read.csv(f"{path}/wrong_matches", header=True).select("key", F.col("score").cast("double").alias("score"))
 
 
 @query(
@@ -722,6 +720,42 @@ def write_run_outputs(spark, d):
     return functools.reduce(DataFrame.unionByName, others, first)
 
 
+# Lookups of some papers break off: what was raised, by the key of the paper.
+_RAISED = "CASE WHEN right(doi, 1) = '3' THEN 'ReadTimeout: no answer' WHEN right(doi, 1) = '4' THEN 'KeyError: title' END"
+
+
+@query(
+    with_(
+        PAPERS, METADATA, ENTRIES, LOOKUPS,
+        f"""
+clean AS (SELECT key, {doi_sql('doi', True)} AS doi FROM entries WHERE {doi_sql('doi', True)} IS NOT NULL),
+settled AS (SELECT doi, exists_flag, error_type FROM latest WHERE NOT {retryable_sql('error_type')}),
+results AS (
+  SELECT key, c.doi, CASE WHEN s.doi IS NOT NULL THEN CASE WHEN exists_flag THEN 'found' ELSE 'not found' END
+      WHEN raised IS NOT NULL THEN 'error' WHEN m.doi IS NOT NULL THEN 'found' ELSE 'not found' END AS status,
+    CASE WHEN s.doi IS NOT NULL THEN s.error_type ELSE raised END AS error_type
+  FROM clean c LEFT JOIN settled s ON c.doi = s.doi
+  LEFT JOIN (SELECT doi, {_RAISED} AS raised FROM metadata) m ON c.doi = m.doi)""",
+    )
+    + f"""SELECT key, doi, status, error_type, {retryable_sql('error_type')} AS retryable,
+      count(*) OVER () AS total_results, 1893456000000000 AS timestamp_micros,
+      (SELECT count(DISTINCT key) FROM results r JOIN metadata m ON r.doi = m.doi WHERE r.status = 'found') AS converted_papers,
+      count(*) FILTER (status <> 'found') OVER () AS failure FROM results"""
+)
+def enrich_failures(spark, d):
+    """Entries of a run in which lookups break off, beside the written report of the run."""
+    path = scratch(spark, "failures")
+    entries = readers.key_doi_rows(views.entries(spark, d))
+    metadata = views.metadata(spark, d).withColumn("failure", F.expr(_RAISED))
+    run = jobs.enrich(entries, _plain_lookups(spark, d), metadata, _now())
+    writers.write_run_outputs(run.results, run.converted, run.summary, path, _now())
+    report = spark.read.schema(
+        "total_results bigint, timestamp_micros bigint, converted_papers bigint, summary struct<failure: bigint>"
+    ).json(f"{path}/summary")
+    figures = report.select("total_results", "timestamp_micros", "converted_papers", "summary.failure")
+    return run.results.select("key", "doi", "status", "error_type", "retryable").crossJoin(F.broadcast(figures))
+
+
 @query(
     with_(PAPERS, METADATA, ENTRIES, LOOKUPS, _ENRICHED)
     + f"""SELECT r.key, r.doi,
