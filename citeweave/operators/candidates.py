@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from citeweave.functions.titles import title_terms
-from citeweave.session import materialize
+from citeweave.session import by_key, materialize
 
 from .lookup import one_per
 
@@ -87,7 +87,7 @@ def _bit(term: Column) -> Column:
 
 def _weighed(entries: DataFrame, weights: DataFrame) -> DataFrame:
     """Entries with their words (hot, neg, term) rarest first, their total weight and bit filter."""
-    words = entries.select("entry", "year", "doi", F.explode("terms").alias("term")).join(weights, "term")
+    words = entries.select("entry", "year", "doi", F.explode("terms").alias("term")).join(by_key(weights), "term")
     place = _bit(F.col("term"))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))
     bits = [
@@ -110,10 +110,10 @@ def _search_words(searches: DataFrame, weights: DataFrame, weighed: DataFrame) -
     words = (
         searches.select("search", "lookup_year", F.explode("terms").alias("term"))
         .withColumn("year", searched_years())
-        .join(present, ["term", "year"])
+        .join(by_key(present), ["term", "year"])
         .select("search", "lookup_year", "term")
         .distinct()
-        .join(weights, "term")
+        .join(by_key(weights), "term")
     )
     order = Window.partitionBy("search").orderBy("hot", F.col("weight").desc(), "term")
     return words.withColumn("place", F.row_number().over(order)).withColumn(
@@ -145,7 +145,7 @@ def _reaching(found: DataFrame, lists: DataFrame, floors: DataFrame) -> DataFram
     The bound is the weight of the search's words that the entry's bit filter may hold.  Each search
     comes to its task once, ahead of its candidates, which stream by in batches.
     """
-    known = lists.select("search", "weighted_bits").join(floors, "search")
+    known = lists.select("search", "weighted_bits").join(by_key(floors), "search")
     rows = known.unionByName(found.select("search", "entry", *_FILTER), allowMissingColumns=True)
     rows = rows.select("search", "entry", "weighted_bits", "floor", *_FILTER)
     # By a hash of the search: a union whose sides are both dealt by the search itself may be left as
@@ -190,8 +190,8 @@ def _scored(pairs: DataFrame, lists: DataFrame, weighed: DataFrame) -> DataFrame
         shared, F.lit(0).cast("long"), lambda total, x: total + F.substring(x, 1, _WEIGHT_DIGITS).cast("long")
     )
     return (
-        pairs.join(offered, "entry")
-        .join(lists.select("search", "search_words"), "search")
+        pairs.join(by_key(offered), "entry")
+        .join(by_key(lists.select("search", "search_words")), "search")
         .select("search", weight.alias("score"), "doi")
     )
 
@@ -208,7 +208,7 @@ def searched_years() -> Column:
 
 def _floors(best: DataFrame, lists: DataFrame) -> DataFrame:
     """(search, floor): the best score so far, at least that of the heaviest word."""
-    return lists.join(best, "search", "left").select(
+    return lists.join(by_key(best), "search", "left").select(
         "search", F.greatest("heaviest", F.coalesce(-F.col("top.neg"), F.lit(0))).alias("floor")
     )
 
@@ -221,7 +221,7 @@ def _under_words(asked: DataFrame, weighed: DataFrame) -> DataFrame:
     wanted = asked.withColumn("year", searched_years()).select(
         "search", "floor", F.xxhash64("term", "year").alias("key")
     )
-    return wanted.join(index, "key").where("total >= floor")
+    return wanted.join(by_key(index), "key").where("total >= floor")
 
 
 def _under_pairs(hot: DataFrame, weighed: DataFrame) -> DataFrame:
@@ -252,7 +252,7 @@ def _under_pairs(hot: DataFrame, weighed: DataFrame) -> DataFrame:
     rest = F.slice("words", F.col("at") + 2, F.size("words"))
     index = index.select("entry", "year", "total", *_FILTER, "term", F.explode(rest).alias("other"))
     index = index.select("entry", "total", *_FILTER, F.xxhash64("term", "other", "year").alias("key"))
-    return wanted.join(index, "key").where("total >= floor")
+    return wanted.join(by_key(index), "key").where("total >= floor")
 
 
 def best_candidate(
@@ -289,23 +289,23 @@ def best_candidate(
     for low, high in ((0, lead_words), (lead_words, 4 * lead_words), (4 * lead_words, None)):
         some = rare.where(F.col("place") > low) if high is None else rare.where((F.col("place") > low) & (F.col("place") <= high))
         floors = _floors(by_rare, lists)
-        needed = some.join(floors, "search").where("suffix >= floor")
+        needed = some.join(by_key(floors), "search").where("suffix >= floor")
         by_rare = _best_of(_reaching(_under_words(needed, weighed), lists, floors), lists, weighed, _unbest(by_rare))
     floors = materialize(_floors(by_rare, lists), "floors")
-    hot = words.where("hot").join(floors, "search")
+    hot = words.where("hot").join(by_key(floors), "search")
     by_pairs = _best_of(_reaching(_under_pairs(hot, weighed), lists, floors), lists, weighed, _unbest(by_rare))
 
     single = weighed.select("year", "doi", F.explode("words.term").alias("term")).groupBy("term", "year").agg(F.min("doi").alias("doi"))
     claims = (
-        words.join(floors, "search")
+        words.join(by_key(floors), "search")
         .where("weight >= floor")
         .withColumn("year", searched_years())
-        .join(single, ["term", "year"])
+        .join(by_key(single), ["term", "year"])
         .select("search", F.col("weight").alias("score"), "doi")
     )
     top = _best(_unbest(by_pairs).union(claims))
-    answers = different.select("words", "search").join(top, "search").select("words", "top")
-    return asked.join(answers, "words", "left").select(
+    answers = different.select("words", "search").join(by_key(top), "search").select("words", "top")
+    return asked.join(by_key(answers), "words", "left").select(
         "title",
         "lookup_year",
         F.col("top.doi").alias("doi"),
@@ -323,7 +323,7 @@ def _best_of(
     pairs = materialize(reaching, "pairs")
     first = pairs.groupBy("search").agg(F.max_by("entry", F.struct("bound", "entry")).alias("entry"))
     best = materialize(_best(_scored(first, lists, weighed).union(so_far)), "best")
-    left = pairs.join(_floors(best, lists), "search").where("bound >= floor").select("search", "entry").distinct()
+    left = pairs.join(by_key(_floors(best, lists)), "search").where("bound >= floor").select("search", "entry").distinct()
     return materialize(_best(_scored(left, lists, weighed).union(_unbest(best))), "best")
 
 
@@ -348,10 +348,10 @@ def attach_candidate(searched: DataFrame, answers: DataFrame, registry: DataFram
     ``searched`` has (title, lookup_year); of registry records with one doi one counts.
     """
     answered = answers.withColumnRenamed("doi", "registry_doi").join(
-        registry_details(registry), "registry_doi", "left"
+        by_key(registry_details(registry)), "registry_doi", "left"
     )
     return (
-        searched.join(answered, ["title", "lookup_year"], "left")
+        searched.join(by_key(answered), ["title", "lookup_year"], "left")
         .withColumn("score", F.coalesce("score", F.lit(0.0)))
     )
 

@@ -52,7 +52,7 @@ from citeweave.operators.lookup import (
 )
 from citeweave.operators.sampling import seeded_split
 from citeweave.operators.validate import add_match_details
-from citeweave.session import materialize
+from citeweave.session import by_key, materialize
 
 
 def prepare_gold(
@@ -80,8 +80,8 @@ def search(
         F.lit(True).alias("_cached"),
     )
     on = (rows[title] == cached["_title"]) & rows["year"].eqNullSafe(cached["_year"])
-    marked = rows.join(cached, on, "left").drop("_title", "_year")
-    known = marked.where("_cached").drop("_cached").join(registry_details(registry), "registry_doi", "left")
+    marked = rows.join(by_key(cached), on, "left").drop("_title", "_year")
+    known = marked.where("_cached").drop("_cached").join(by_key(registry_details(registry)), "registry_doi", "left")
     others = marked.where("_cached IS NULL").select(rows.columns)
     return _searched(others, registry, title, **options).unionByName(known)
 

@@ -29,7 +29,7 @@ from citeweave.plans.view_sql import (
     words,
     year_sql,
 )
-from citeweave.session import shared_folder
+from citeweave.session import by_key, shared_folder
 from citeweave.sources.writers import write_wrong_matches
 
 _WANTED = f"""
@@ -43,7 +43,7 @@ def _sources(spark, d):
     gold = views.gold(spark, d)
     held = registry.select(F.col("doi").alias("_doi"))
     flagged = gold.join(
-        held, normalize_doi(F.col("doi")) == F.lower("_doi"), "left"
+        by_key(held), normalize_doi(F.col("doi")) == F.lower("_doi"), "left"
     ).select(*gold.columns, F.col("_doi").isNotNull().alias("on_registry"))
     return flagged, views.publications(spark, d), registry
 

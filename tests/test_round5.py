@@ -5,6 +5,8 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from citeweave.functions.names import normalize_author_name
+from citeweave.operators import candidates, lookup
 from citeweave.plans import views
 from citeweave.streaming import extraction
 
@@ -63,3 +65,27 @@ def test_only_lines_that_matter_are_kept(spark):
     # Doubled quotes of the dialect are single ones in the venue.
     quoted = spark.createDataFrame([('"p1,T,,2001,the ""x"" journal"',)], "value string")
     assert extraction.JournalTables(spark, "", {"name": 'the "x" j'}).needed(quoted).count() == 1
+
+
+def test_small_sides_of_growing_joins_do_not_pass_through_the_driver(spark):
+    gold = spark.createDataFrame([("a", "T", "10.1/x"), ("b", "", None)], "key string, title string, doi string")
+    pubs = spark.createDataFrame([("a", "U", "2001")], "key string, title string, year string")
+    registry = spark.createDataFrame([("10.1/x", "U", 2001, [], "")], "doi string, title string, year int, authors array<string>, venue string")
+    joined = lookup.attach_metadata(gold, pubs)
+    assert {r.key: r.title for r in joined.collect()} == {"a": "U", "b": ""}
+    best = spark.createDataFrame([("U", 2001, "10.1/x", 1.0)], "title string, lookup_year int, doi string, score double")
+    found = candidates.attach_candidate(best.select("title", "lookup_year"), best, registry)
+    assert [r.cr_year for r in found.collect()] == [2001]
+    for df in (joined, found):
+        assert "SortMergeJoin" in plan(df) and "Broadcast" not in plan(df)
+
+
+def test_plain_names_skip_rules_and_keep_their_keys(spark):
+    names = {
+        "Ann Lee": "ann_lee", " ann LEE ": "ann_lee", "a. lee": "a_lee", "7 x": "7_x", "ann  lee": "ann_lee", "ann lee\n": "ann_lee",
+        "ann b lee": "ann_lee", "lee": "unknown_lee", "a_ lee": "a_lee", "x" * 60 + " " + "y" * 60: "x" * 60 + "_" + "y" * 39,
+        "x" * 99 + " y": "x" * 99,
+    }
+    df = spark.createDataFrame([(n,) for n in names], "name string").select("name", normalize_author_name(F.col("name")).alias("k"))
+    assert {r.name: r.k for r in df.collect()} == names
+    assert normalize_author_name(F.col("name"))._jc.toString().startswith("CASE WHEN")
