@@ -13,9 +13,11 @@ from .lists import PART_SIZE, parted_lists
 
 def author_papers(papers: DataFrame) -> DataFrame:
     """(author, key) for every named author of every paper, duplicates kept."""
+    # Optimized plans would list the authors twice for a plain explode and normalise each name twice
+    # for a filter on a plain column; an outer explode and an array of one name keep both at once.
     return (
-        papers.select("key", F.explode(named_authors(F.col("authors"))).alias("a"))
-        .select(normalize_author_name(F.col("a.name")).alias("author"), "key")
+        papers.select("key", F.explode_outer(named_authors(F.col("authors"))).alias("a"))
+        .select(F.explode(F.array(normalize_author_name(F.col("a.name")))).alias("author"), "key")
         .where(F.col("author") != "")
     )
 

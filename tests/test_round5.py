@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from citeweave.functions.names import normalize_author_name
 from citeweave.operators import candidates, lookup
+from citeweave.operators.authors import author_papers
 from citeweave.plans import views
 from citeweave.streaming import extraction
 
@@ -89,3 +90,11 @@ def test_plain_names_skip_rules_and_keep_their_keys(spark):
     df = spark.createDataFrame([(n,) for n in names], "name string").select("name", normalize_author_name(F.col("name")).alias("k"))
     assert {r.name: r.k for r in df.collect()} == names
     assert normalize_author_name(F.col("name"))._jc.toString().startswith("CASE WHEN")
+
+
+def test_names_are_normalised_once(spark):
+    people = [("p", [{"name": "Ann Lee"}, {"name": ""}, {"name": None}, {"name": "_"}]), ("q", []), ("r", None), ("s", [None])]
+    pairs = author_papers(spark.createDataFrame(people, "key string, authors array<struct<name: string>>"))
+    assert sorted(tuple(r) for r in pairs.collect()) == [("ann_lee", "p"), ("unknown", "p")]
+    text = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("(?U)[^" in line for line in text.splitlines()) == 1 and "size(filter" not in text
