@@ -58,3 +58,13 @@ def test_missing_years_dois_and_titles(spark):
     }
     assert run(searches[:1], []) == {("a b", 2000): (None, False)}
     assert run([], registry) == {}
+
+
+def test_titles_are_shuffled_once_for_their_answers(spark):
+    registry = spark.createDataFrame([("10.1/x", "U", 2001, [], "")], "doi string, title string, year int, authors array<string>, venue string")
+    best = spark.createDataFrame([("U", 2001, "10.1/x", 1.0), ("V", 2001, None, 0.0)], "title string, lookup_year int, doi string, score double")
+    rows = spark.createDataFrame([("U", 2001), ("U", 2001), ("V", 2001), (None, 2001)], SEARCHES)
+    found = candidates.attach_candidate(rows, best, registry)
+    got = sorted((r.title or "", r.registry_doi, r.score, r.cr_title) for r in found.collect())
+    assert got == [("", None, 0.0, None), ("U", "10.1/x", 1.0, "U"), ("U", "10.1/x", 1.0, "U"), ("V", None, 0.0, None)]
+    assert "hashpartitioning(title" not in found._jdf.queryExecution().executedPlan().toString()
