@@ -7,6 +7,7 @@ import random
 import pytest
 
 from citeweave.operators import candidates
+from citeweave.sources import writers
 
 from .test_matching import brute_force, skewed_titles
 
@@ -68,3 +69,10 @@ def test_titles_are_shuffled_once_for_their_answers(spark):
     got = sorted((r.title or "", r.registry_doi, r.score, r.cr_title) for r in found.collect())
     assert got == [("", None, 0.0, None), ("U", "10.1/x", 1.0, "U"), ("U", "10.1/x", 1.0, "U"), ("V", None, 0.0, None)]
     assert "hashpartitioning(title" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_converted_papers_are_written_compressed(spark, tmp_path):
+    rows = [(f"k{i}", " ".join(f"word{j}" for j in range(300))) for i in range(50)]
+    writers.write_converted(spark.createDataFrame(rows, "key string, title string").coalesce(1), str(tmp_path))
+    assert sorted((r.key, r.title) for r in spark.read.json(f"{tmp_path}/converted").collect()) == sorted(rows)
+    assert sum(f.stat().st_size for f in (tmp_path / "converted").iterdir()) < sum(len(t) for _, t in rows) / 4
