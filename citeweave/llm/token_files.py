@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from citeweave.llm.files import new_folder, new_name, opened
-from citeweave.llm.tokens import Encoder
+from citeweave.llm.tokens import shared_encoder
 from citeweave.llm.words import slices
 from citeweave.session import materialize
 
@@ -146,7 +146,7 @@ def write_token_files(
     place = folder or new_folder(docs.sparkSession, "token-files")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer, special_ids=special_ids)
+        encoder = shared_encoder(tokenizer, special_ids)
         end = np.array([end_id], encoder.dtype).tobytes()
         writer = None
         for batch in slices(batches, "text"):

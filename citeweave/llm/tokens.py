@@ -13,6 +13,7 @@ plain `encode(text, add_special_tokens=False)` does.
 from __future__ import annotations
 
 import os
+from functools import lru_cache
 
 import numpy as np
 
@@ -20,6 +21,14 @@ import numpy as np
 _PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _SYMBOLS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 
+_BLANK = chr(_SYMBOLS[0x20])
+
+
+@lru_cache(maxsize=1)
+def shared_encoder(path: str, special_ids: bool = False) -> Encoder:
+    """The encoder of a Python worker, whose tasks come one after the other and know more and more parts."""
+    return Encoder(path, limit=1_000_000, special_ids=special_ids)
+
 
 class Encoder:
     """Ids of whole texts, as little-endian unsigned 16-bit ids where the vocabulary allows, else 32-bit."""
@@ -85,6 +94,9 @@ class Encoder:
         uses: list[tuple[str, str, str]] = []
         others: set[str] = {",", ".", "\n"}
         for part in parts:
+            if part[:1] == " " and part[1:].isalpha():
+                known[part] = one(part)
+                continue
             end = part[-1:]
             if end and end in ",." and part[-2:-1].isalpha():
                 core = part[:-1]
@@ -105,6 +117,9 @@ class Encoder:
 
     def _letters(self, word: str) -> bytes:
         """Ids of letters, with or without a blank in front: one unit for the pair encoding."""
-        symbols = word.encode().decode("latin-1").translate(_SYMBOLS)
+        if word.isascii():  # letters stand for themselves
+            symbols = _BLANK + word[1:] if word[0] == " " else word
+        else:
+            symbols = word.encode().decode("latin-1").translate(_SYMBOLS)
         packed = self._packed
         return b"".join([packed[t.id] for t in self._pairs(symbols)])
