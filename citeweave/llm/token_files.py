@@ -149,7 +149,7 @@ def write_token_files(
         encoder = shared_encoder(tokenizer, special_ids)
         end = np.array([end_id], encoder.dtype).tobytes()
         writer = None
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 1 << 23):
             if writer is None:
                 writer = Writer(place, TaskContext.get().partitionId(), encoder.dtype, length)
             texts = [t or "" for t in batch.column("text").to_pylist()]
