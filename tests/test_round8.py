@@ -1,13 +1,18 @@
-"""The candidate search cuts each title into words once and reads few postings."""
+"""The candidate search cuts each title into words once and reads few postings; arrivals leave only what is read again."""
 
 from __future__ import annotations
 
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
 
 from citeweave.operators import candidates
+from citeweave.session import shared_folder
+from citeweave.sources import writers
+
+from . import test_round4
 
 SEARCHES, REGISTRY = "title string, lookup_year int", "doi string, title string, year int"
 
@@ -57,3 +62,22 @@ def test_a_copied_search_reads_the_rarest_word_only():
     index.rows = type("Rows", (), {"__getitem__": lambda _, part, rows=index.rows: read.append(part.stop - part.start) or rows[part]})()
     assert index.best(np.arange(4), 15) == (15, 0)
     assert read == [2]
+
+
+def test_parts_of_a_publication_are_written_compressed(spark, tmp_path):
+    rows = [(f"k{i % 5}", " ".join(f"word{j}" for j in range(300)), i) for i in range(50)]
+    writers.write_extracted(spark.createDataFrame(rows, "id string, title string, part int").coalesce(1), str(tmp_path))
+    written = spark.read.schema("id string, title string, part int").json(f"{tmp_path}/publications")
+    assert sorted(map(tuple, written.collect())) == sorted(rows)
+    assert sum(f.stat().st_size for f in (tmp_path / "publications").iterdir()) < sum(len(t) for _, t, _ in rows) / 4
+
+
+def test_arrivals_leave_no_lines(spark, tmp_path):
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+    for name in ("a.csv", "b.csv", "1.csv", "2.csv"):
+        test_round4.put(tmp_path, name)
+    state = test_round4.arrive(spark, tmp_path)
+    assert not [p.name for p in set(folder.iterdir()) - before if p.name.startswith("arrived-")]
+    assert state.extracted(2).count() == 5
+    assert all(".zstd." in f.name for f in (tmp_path / "tables").rglob("*.parquet"))
