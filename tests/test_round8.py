@@ -1,4 +1,4 @@
-"""The candidate search cuts each title into words once and reads few postings; arrivals leave only what is read again."""
+"""The candidate search cuts each title into words once and reads few postings; titles are compared in step; arrivals leave only what is read again."""
 
 from __future__ import annotations
 
@@ -7,7 +7,10 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from citeweave.functions import similarity
+from citeweave.functions.text import strip_space
 from citeweave.operators import candidates
 from citeweave.session import shared_folder
 from citeweave.sources import writers
@@ -81,3 +84,46 @@ def test_arrivals_leave_no_lines(spark, tmp_path):
     assert not [p.name for p in set(folder.iterdir()) - before if p.name.startswith("arrived-")]
     assert state.extracted(2).count() == 5
     assert all(".zstd." in f.name for f in (tmp_path / "tables").rglob("*.parquet"))
+
+
+def test_titles_compared_in_step_as_one_by_one(monkeypatch):
+    rng = random.Random(8)
+    alphabets = ["ab", "abcdefgh ", "aé漢字😀x", "".join(map(chr, range(0x4E00, 0x5200)))]
+
+    def text():
+        return "".join(rng.choices(rng.choice(alphabets), k=rng.choice([0, 1, 2, 61, 62, 63, 124, 125, 300, 2100])))
+
+    pairs = [(a := text(), text() if rng.random() < 0.6 else a[: len(a) // 2] + text()) for _ in range(300)]
+    expected = [similarity.lcs_length(a, b) for a, b in pairs]
+    monkeypatch.setattr(similarity, "TOGETHER", 0)
+    for entries in (1 << 10, 1 << 21):
+        monkeypatch.setattr(similarity, "TABLE", entries)
+        assert similarity.lcs_lengths(pairs).tolist() == expected
+    assert similarity.lcs_lengths([]).tolist() == []
+
+
+def test_similarities_of_batches_stay_with_their_rows(spark):
+    rows = [(f"title {i} {'x' * (i % 7)}", f"Title {i * 7 % 50} y" if i % 5 else None, i % 3 > 0) for i in range(400)]
+    rows += [(" Same ", "same\u00a0", True), ("\u3000 ", "a", True), ("q", "q", True), ("q", "q", None), ("a", "B", True)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "17")
+    try:
+        df = spark.createDataFrame(rows, "a string, b string, ok boolean").repartition(2)
+        got = df.select("a", "b", "ok", similarity.title_similarity(F.col("a"), F.col("b"), F.col("ok")).alias("s")).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(got) == len(rows)
+    for r in got:
+        a, b = (r.a or "").strip().lower(), (r.b or "").strip().lower()
+        assert r.s == (2.0 * similarity.lcs_length(a, b) / (len(a) + len(b)) if r.ok and a and b else 0.0)
+
+
+def test_white_space_is_what_the_pattern_says(spark):
+    codes = spark.range(0x10FFFF).where("id NOT BETWEEN 55296 AND 57343 AND id > 0").select(
+        F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32").alias("c")
+    )
+    texts = codes.select(F.concat("c", "c", F.lit("a \n b"), "c", F.lit("\n"), "c").alias("t"))
+    plain = F.regexp_replace("t", r"(?U)^\s+|\s+$", "")
+    assert texts.where(strip_space(F.col("t")) != plain).count() == 0
+    assert texts.where(strip_space(F.col("t")) != F.col("t")).count() >= 25
+    plan = spark.range(1).select(strip_space(F.col("id").cast("string")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp" not in plan
